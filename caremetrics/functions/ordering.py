@@ -21,14 +21,15 @@ SLOTS = 256
 _STRIDE = 16
 
 
-def _cut_points(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def _cut_points(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     """Per key at most ``SLOTS`` of its values, chosen by hash.
 
     The choice depends on the values alone (not on row order), so branches of
-    a plan and retried tasks agree on it.
+    a plan and retried tasks agree on it. The filter holds for every row; naming
+    the weight keeps the input equal in all branches, so its shuffle is reused.
     """
     digest = F.xxhash64(F.col(value))
-    picked = df.groupBy(*keys, F.pmod(digest, F.lit(SLOTS)).alias("_slot")).agg(
+    picked = df.where(F.col(weight) > 0).groupBy(*keys, F.pmod(digest, F.lit(SLOTS)).alias("_slot")).agg(
         F.min_by(value, digest).alias("_cut")
     )
     fine = F.sort_array(F.collect_list("_cut"))
@@ -45,8 +46,8 @@ def _range_no(value: Column, cuts: Column) -> Column:
     )
 
 
-def _with_ranges(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    cuts = _cut_points(df, keys, value)
+def _with_ranges(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+    cuts = _cut_points(df, keys, value, weight)
     # Without keys the cut points are one row: a scalar subquery, not a join.
     placed = df.join(cuts, list(keys)) if keys else df.withColumn("_cuts", cuts.scalar())
     return placed.withColumn("_range", _range_no(F.col(value), F.col("_cuts"))).drop("_cuts")
@@ -88,7 +89,7 @@ def weight_before(
     ``df`` has one row per (keys, value) and no null values. With weight 1 the
     result is the zero-based position; with row counts it is ``rank - 1``.
     """
-    ranged = _with_ranges(df, keys, value)
+    ranged = _with_ranges(df, keys, value, weight)
     offsets = _range_offsets(ranged, keys, weight).drop("_range_weight", "_total")
     return (
         _attach_offsets(ranged, offsets, keys)
@@ -123,7 +124,7 @@ def linear_percentiles(
     Returns one row per key with a column per entry of ``fractions``. Only the
     value ranges that hold a wanted position are ordered.
     """
-    ranged = _with_ranges(df, keys, value)
+    ranged = _with_ranges(df, keys, value, weight)
     spots = []
     for name, fraction in fractions.items():
         exact = F.lit(fraction) * (F.col("_total") - 1)

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caremetrics.functions.numbers import text_or_na
+from caremetrics.sources.literals import literal_rows
 
 # Population by state.
 POPULATION = {
@@ -21,6 +23,9 @@ POPULATION = {
     "Australian Capital Territory": 366900,
     "Northern Territory": 231200,
 }
+_PEOPLE = T.StructType(
+    [T.StructField("state", T.StringType()), T.StructField("population", T.LongType())]
+)
 
 
 def mapped(hospitals: DataFrame) -> DataFrame:
@@ -75,8 +80,7 @@ def density(
 ) -> DataFrame:
     """Hospitals of a status per state and per 1,000 people; ``N/A`` where no population is known."""
     lookup = POPULATION if population is None else population
-    # One literal row per state: safe to broadcast.
-    people = F.broadcast(spark.createDataFrame(list(lookup.items()), "state string, population long"))
+    people = literal_rows(spark, list(lookup.items()), _PEOPLE)
     counts = (
         mapped(hospitals)
         .where(F.col("state").isNotNull())

@@ -78,17 +78,22 @@ def open_states(hospitals: DataFrame) -> DataFrame:
 
 
 def stored_facts(tables: CareTables) -> DataFrame:
-    """Items of stored datasets with measure names and reporting date."""
-    catalogue = (
-        tables.datasets.where("stored")
-        .select("datasetid", "reportingstartdate", "measurecode", "reportedmeasurecode")
+    """Items of stored datasets with measure names and reporting date.
+
+    The two large tables are joined first. The name tables come after that
+    shuffle, when their measured size decides between broadcast and shuffle.
+    """
+    dated = tables.datasets.where("stored").select(
+        "datasetid", "reportingstartdate", "measurecode", "reportedmeasurecode"
+    )
+    # A NaN counts as a missing value.
+    value = F.when(~F.isnan("value"), F.col("value")).alias("value")
+    items = tables.info.select("datasetid", "reportingunitcode", value)
+    return (
+        items.join(dated, "datasetid")
         .join(tables.measurements, "measurecode")
         .join(tables.reported_measurements, "reportedmeasurecode")
-        .select("datasetid", "reportingstartdate", *MEASURE)
-    )
-    items = tables.info.select("datasetid", "reportingunitcode", "value")
-    return items.join(catalogue, "datasetid").select(
-        *MEASURE, "reportingstartdate", "reportingunitcode", "value"
+        .select(*MEASURE, "reportingstartdate", "reportingunitcode", "value")
     )
 
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caremetrics.operators.sheets import SCENARIOS, year_ordinals
+from caremetrics.session import checkpointed
+from caremetrics.sources.literals import literal_rows
 
 # Share of the population by state.
 POPULATION_SHARES = {
@@ -27,6 +28,9 @@ POPULATION_SHARES = {
 # Share of rows a model is trained on, and the L1/L2 mix.
 TRAIN_SHARE = 0.8
 ELASTIC_NET = 0.8
+_LINE = T.StructType(
+    [T.StructField("slope", T.DoubleType()), T.StructField("intercept", T.DoubleType())]
+)
 
 
 def state_population(population: DataFrame, shares: dict[str, float] | None = None) -> DataFrame:
@@ -46,20 +50,21 @@ def budget_population(budget: DataFrame, population: DataFrame) -> DataFrame:
     return national.join(population, "year").select("year", "nat", "total_population")
 
 
-def _vector(columns: Sequence[str]):
-    return array_to_vector(F.array(*[F.col(c).cast("double") for c in columns]))
+def _assembled(df: DataFrame, columns: Sequence[str], *others: str) -> DataFrame:
+    # The assembler records the vector length, which saves the fit a job.
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
+    return assembler.transform(df).select("features", *others)
 
 
 def fit_budget(training: DataFrame) -> LinearRegressionModel:
     """Spending explained by population, by ordinary least squares."""
-    design = training.select(_vector(["total_population"]).alias("features"), F.col("nat").alias("label"))
-    return LinearRegression(featuresCol="features", labelCol="label").fit(design)
+    design = _assembled(training, ["total_population"], "nat")
+    return LinearRegression(featuresCol="features", labelCol="nat", solver="normal").fit(design)
 
 
 def budget_line(spark: SparkSession, model: LinearRegressionModel) -> DataFrame:
-    return spark.createDataFrame(
-        [(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double"
-    )
+    line = [(float(model.coefficients[0]), float(model.intercept))]
+    return literal_rows(spark, line, _LINE)
 
 
 def score_scenarios(model: LinearRegressionModel, projections: DataFrame) -> DataFrame:
@@ -81,6 +86,8 @@ def wide_targets(info: DataFrame, units: Sequence[str]) -> DataFrame:
         .pivot("reportingunitcode", ordered)
         .agg(F.max("value"))
     )
+    # A row per reporting year, read several times below.
+    wide = checkpointed(wide)
     newest = wide.agg(F.max("datasetid")).scalar()
     kept = year_ordinals(wide.where(F.col("datasetid") < newest), "datasetid")
     return kept.select("year", *[F.col(f"`{u}`").alias(f"{u}_values") for u in ordered])
@@ -143,24 +150,35 @@ def fit_targets(
 ) -> DataFrame:
     """Fit one linear model per target column: (target, feature, coefficient).
 
-    The assembled rows are kept for the fits, which each run over all of them;
-    targets are columns, so their number is small. Rows with a null are left out
-    per target. The intercept is listed as feature ``(intercept)``.
+    Targets are columns, so there are few, and each fit is one pass: the tasks
+    add up the moments of the rows, and the solution is found from those.
+    Nothing is cached; a design that is costly to derive should be checkpointed
+    by the caller. Rows with a null are left out per target. The intercept is
+    listed as feature ``(intercept)``.
     """
-    spark = design.sparkSession
-    assembled = (
-        design.na.drop(subset=list(features))
-        .select(_vector(features).alias("features"), *[F.col(t).cast("double").alias(t) for t in targets])
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    design = design.na.drop(subset=list(features))
     rows = []
-    try:
-        for target in targets:
-            model = LinearRegression(
-                featuresCol="features", labelCol=target, regParam=reg_param, elasticNetParam=elastic_net
-            ).fit(assembled.where(F.col(target).isNotNull()))
-            rows += [(target, f, float(c)) for f, c in zip(features, model.coefficients)]
-            rows.append((target, "(intercept)", float(model.intercept)))
-    finally:
-        assembled.unpersist()
-    return spark.createDataFrame(rows, "target string, feature string, coefficient double")
+    for target in targets:
+        estimator = LinearRegression(
+            featuresCol="features",
+            labelCol=target,
+            solver="normal",
+            regParam=reg_param,
+            elasticNetParam=elastic_net,
+            maxIter=1000,
+            tol=1e-12,
+        )
+        complete = design.where(F.col(target).isNotNull())
+        model = estimator.fit(_assembled(complete, features, target))
+        rows += [(target, f, float(c)) for f, c in zip(features, model.coefficients)]
+        rows.append((target, "(intercept)", float(model.intercept)))
+    return literal_rows(design.sparkSession, rows, _COEFFICIENTS)
+
+
+_COEFFICIENTS = T.StructType(
+    [
+        T.StructField("target", T.StringType()),
+        T.StructField("feature", T.StringType()),
+        T.StructField("coefficient", T.DoubleType()),
+    ]
+)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caremetrics.operators import (
     distributions,
@@ -19,6 +20,7 @@ from caremetrics.operators import (
 )
 from caremetrics.session import work_dir
 from caremetrics.sources import feeds, standins
+from caremetrics.sources.literals import literal_rows
 from caremetrics.streaming import items as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,7 +57,7 @@ def _catalogue(spark, sf_dir):
 
 
 def _lineitem(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return standins.given(spark, sf_dir, "lineitem")
 
 
 # --- feeds and ingestion ---------------------------------------------------------
@@ -181,8 +183,8 @@ def measure_panel(spark, sf_dir):
 
 @_query
 def panel_with_fallback(spark, sf_dir):
-    schema = ", ".join(f"{c} string" for c in measures.PANEL)
-    requested = spark.createDataFrame(REQUESTED, schema)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in measures.PANEL])
+    requested = literal_rows(spark, REQUESTED, schema)
     return measures.panel_or_national(standins.tables(spark, sf_dir), requested)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "caremetrics", cpus: int | str = "*") -> SparkSession:
@@ -17,6 +17,9 @@ def build_session(app: str = "caremetrics", cpus: int | str = "*") -> SparkSessi
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Runtime sizes are compressed bytes; a tenth of the default keeps tables of
+        # many rows out of single-threaded hash builds.
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "1m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CAREMETRICS_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
@@ -39,7 +42,12 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/caremetrics-{purpose}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, keeping a folder that is already set."""
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, computed once and kept in the shared checkpoint folder.
+
+    For small results of large inputs that a later plan reads several times.
+    """
+    spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(_shared_root(spark))
+    return df.checkpoint()

@@ -11,7 +11,27 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremetrics.schemas import NATIONAL_UNIT
+from caremetrics.schemas import CELLS, NATIONAL_UNIT
+from caremetrics.sources.literals import literal_rows
+
+# Declared, so that planning a query opens no file footers.
+_GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
 
 
 @dataclass(frozen=True)
@@ -23,16 +43,16 @@ class CareTables:
     info: DataFrame
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(_GIVEN[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = F.col("s_suppkey") % 20 != 0
     return (
-        _read(spark, sf_dir, "supplier")
-        .join(_read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        given(spark, sf_dir, "supplier")
+        .join(given(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(given(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("s_suppkey").cast("string").alias("code"),
             F.col("s_name").alias("name"),
@@ -52,7 +72,7 @@ def hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "orders").select(
+    return given(spark, sf_dir, "orders").select(
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias("reportingstartdate"),
         F.col("o_orderstatus").alias("reportedmeasurecode"),
         F.col("o_orderkey").alias("datasetid"),
@@ -64,7 +84,7 @@ def datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _read(spark, sf_dir, "orders")
+        given(spark, sf_dir, "orders")
         .select(F.col("o_orderpriority").alias("measurecode"))
         .distinct()
         .withColumn("measurename", F.substring("measurecode", 3, 100))
@@ -74,7 +94,7 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reported_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.col("reportedmeasurecode")
     return (
-        _read(spark, sf_dir, "orders")
+        given(spark, sf_dir, "orders")
         .select(F.col("o_orderstatus").alias("reportedmeasurecode"))
         .where(code != "P")
         .distinct()
@@ -83,25 +103,26 @@ def reported_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (dataset, unit) and one national row per dataset, in one pass."""
-    order, unit = F.col("l_orderkey"), F.col("l_suppkey")
-    sets = _read(spark, sf_dir, "lineitem").groupingSets([[order, unit], [order]], order, unit)
-    lowest_and_highest = sets.agg(
-        F.grouping(unit).alias("national"),
-        F.min("l_extendedprice").alias("lowest"),
-        F.max("l_extendedprice").alias("highest"),
+    """One row per (dataset, unit) and one national row per dataset."""
+    lines = given(spark, sf_dir, "lineitem")
+    order, unit = F.col("l_orderkey"), F.col("l_suppkey").cast("string")
+    per_unit = lines.groupBy("l_orderkey", "l_suppkey").agg(F.min("l_extendedprice").alias("price"))
+    per_order = lines.groupBy("l_orderkey").agg(F.max("l_extendedprice").alias("price"))
+    units = per_unit.select(
+        order.alias("datasetid"),
+        unit.alias("reportingunitcode"),
+        F.when(order % 53 != 0, F.col("price")).alias("value"),
+        F.when(order % 10 == 0, "estimated").alias("caveats"),
+        F.concat_ws("|", order.cast("string"), unit).alias("id"),
     )
-    national = F.col("national") == 1
-    unit_code = F.when(national, NATIONAL_UNIT).otherwise(unit.cast("string"))
-    return lowest_and_highest.select(
+    national = per_order.select(
         order.alias("datasetid"),
-        unit_code.alias("reportingunitcode"),
-        F.when(national, F.col("highest"))
-        .when(order % 53 != 0, F.col("lowest"))
-        .alias("value"),
-        F.when(~national & (order % 10 == 0), "estimated").alias("caveats"),
-        F.concat_ws("|", order.cast("string"), unit_code).alias("id"),
+        F.lit(NATIONAL_UNIT).alias("reportingunitcode"),
+        F.col("price").alias("value"),
+        F.lit(None).cast("string").alias("caveats"),
+        F.concat_ws("|", order.cast("string"), F.lit(NATIONAL_UNIT)).alias("id"),
     )
+    return units.unionByName(national)
 
 
 def tables(spark: SparkSession, sf_dir: str) -> CareTables:
@@ -117,7 +138,7 @@ def tables(spark: SparkSession, sf_dir: str) -> CareTables:
 def catalogue_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the catalogue feed: mixed-case names, dates as text, some malformed."""
     month = F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "month"), "yyyy-MM-dd")
-    return _read(spark, sf_dir, "orders").select(
+    return given(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderkey") % 97 == 0, "1995-1").otherwise(month).alias("ReportingStartDate"),
         F.col("o_orderstatus").alias("ReportedMeasureCode"),
         F.when(F.col("o_orderstatus") == "F", "Final")
@@ -167,7 +188,7 @@ def _money(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "orders").withColumn(
+    return given(spark, sf_dir, "orders").withColumn(
         "period", half_year(F.col("o_orderdate").cast("date"))
     )
 
@@ -178,7 +199,7 @@ def period_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(period, state, total). Orders are summed per customer's nation."""
-    customers = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = given(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     per_nation = _money(
         _orders(spark, sf_dir).join(customers, F.col("o_custkey") == F.col("c_custkey")),
         "period",
@@ -213,9 +234,7 @@ def _notes(spark: SparkSession, workbook: str, sheet: str, rows: dict[int, list[
         for row_no, texts in rows.items()
         for col_no, text in enumerate(texts)
     ]
-    return spark.createDataFrame(
-        cells, "workbook string, sheet string, row_no int, col_no int, cell string"
-    )
+    return literal_rows(spark, cells, CELLS)
 
 
 def directory_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +262,7 @@ def stay_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table 2.9: two blocks of three hospital types by year, averages at the right."""
     period = half_year(F.col("l_shipdate").cast("date"))
     per_cell = (
-        _read(spark, sf_dir, "lineitem")
+        given(spark, sf_dir, "lineitem")
         .groupBy(
             period.alias("period"),
             F.when(F.col("l_linestatus") == "O", 0).otherwise(1).alias("block"),
@@ -285,9 +304,7 @@ def stay_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         for col_no, head in ((98, "Average since 2018–19"), (99, "Since 2021–22"))
         for row_no, text in ((2, head), *((r, "0.0") for r in range(4, 10)))
     ]
-    side = spark.createDataFrame(
-        summary, "workbook string, sheet string, row_no int, col_no int, cell string"
-    )
+    side = literal_rows(spark, summary, CELLS)
     notes = _notes(spark, "Admitted Patients", "Table 2.9", rows)
     return notes.unionByName(side).unionByName(header).unionByName(body)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,9 +45,14 @@ def ingest_epoch(batch: DataFrame, epoch: int, path: str) -> None:
     """
     spark = batch.sparkSession
     others = read_items_table(spark, path).where(F.col("epoch") != epoch)
-    fresh = new_rows(with_item_id(batch), others, "id", within="datasetid")
     written = f"{path}/items/epoch={epoch}"
-    fresh.select(*TABLES["info"].schema.fieldNames()).write.mode("overwrite").parquet(written)
+    # Parsed once: the rows are needed for their range of ids and for the write.
+    keyed = with_item_id(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fresh = new_rows(keyed, others, "id", within="datasetid")
+        fresh.select(*TABLES["info"].schema.fieldNames()).write.mode("overwrite").parquet(written)
+    finally:
+        keyed.unpersist()
     ids = spark.read.schema(TABLES["info"].schema).parquet(written).select("datasetid").distinct()
     ids.write.mode("overwrite").parquet(f"{path}/stored_ids/epoch={epoch}")
 
