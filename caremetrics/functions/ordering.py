@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS = 256
-_STRIDE = 16
 
 
 def _cut_points(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
@@ -32,25 +31,32 @@ def _cut_points(df: DataFrame, keys: Sequence[str], value: str, weight: str) ->
     picked = df.where(F.col(weight) > 0).groupBy(*keys, F.pmod(digest, F.lit(SLOTS)).alias("_slot")).agg(
         F.min_by(value, digest).alias("_cut")
     )
-    fine = F.sort_array(F.collect_list("_cut"))
-    coarse = F.filter(fine, lambda _, i: i % _STRIDE == 0)
-    return picked.groupBy(*keys).agg(F.struct(fine.alias("fine"), coarse.alias("coarse")).alias("_cuts"))
+    return picked.groupBy(*keys).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
 
 
-def _range_no(value: Column, cuts: Column) -> Column:
-    """Number of cut points at or below the value, found in two short steps."""
-    block = F.size(F.filter(cuts["coarse"], lambda cut: cut <= value))
-    inside = F.slice(cuts["fine"], (block - 1) * _STRIDE + 1, _STRIDE)
-    return F.when(block == 0, 0).otherwise(
-        (block - 1) * _STRIDE + F.size(F.filter(inside, lambda cut: cut <= value))
-    )
+def _range_no(placed: DataFrame, value: str) -> DataFrame:
+    """Replace ``_cuts`` by ``_range``: the number of cut points at or below the value.
+
+    A bisection written as one column per halving step, each built on the one
+    before, which stays inside generated code. A position past the end of the
+    array reads as null and is not taken.
+    """
+    names = ["_at"]
+    steps = [F.lit(0).alias("_at")]
+    for k in reversed(range(SLOTS.bit_length())):
+        at, step = F.col(names[-1]), 1 << k
+        taken = F.get("_cuts", at + (step - 1)) <= F.col(value)
+        names.append(f"_at{k}")
+        steps.append((at + F.when(taken, step).otherwise(0)).alias(names[-1]))
+    kept = [F.col(c) for c in placed.columns if c != "_cuts"]
+    return placed.select("*", *steps).select(*kept, F.col(names[-1]).alias("_range"))
 
 
 def _with_ranges(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     cuts = _cut_points(df, keys, value, weight)
     # Without keys the cut points are one row: a scalar subquery, not a join.
     placed = df.join(cuts, list(keys)) if keys else df.withColumn("_cuts", cuts.scalar())
-    return placed.withColumn("_range", _range_no(F.col(value), F.col("_cuts"))).drop("_cuts")
+    return _range_no(placed, value)
 
 
 def _range_offsets(ranged: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
@@ -129,9 +135,7 @@ def linear_percentiles(
     for name, fraction in fractions.items():
         exact = F.lit(fraction) * (F.col("_total") - 1)
         spots += [(f"_{name}_lo", F.floor(exact)), (f"_{name}_hi", F.ceil(exact))]
-    offsets = _range_offsets(ranged, keys, weight)
-    for name, spot in spots:
-        offsets = offsets.withColumn(name, spot)
+    offsets = _range_offsets(ranged, keys, weight).withColumns(dict(spots))
     wanted = F.lit(False)
     for name, _ in spots:
         here = F.col(name)

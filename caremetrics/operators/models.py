@@ -118,27 +118,29 @@ def split(df: DataFrame, key: Sequence[str], share: float = TRAIN_SHARE) -> Data
     return df.withColumn("is_train", F.substring(F.md5(text), 1, 8) < limit)
 
 
-def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def column_scales(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and sample standard deviation per column: one pass, one row to the driver."""
+    row = df.agg(
+        *[F.avg(c).alias(f"{c}_mean") for c in columns],
+        *[F.stddev_samp(c).alias(f"{c}_std") for c in columns],
+    ).first()
+    return {c: (row[f"{c}_mean"], row[f"{c}_std"]) for c in columns}
+
+
+def standardize(
+    df: DataFrame, columns: Sequence[str], scales: dict[str, tuple[float, float]] | None = None
+) -> DataFrame:
     """Add ``<column>_scaled`` = (x − mean) / sample deviation; 0 for a constant column.
 
-    The statistics are one row and enter as a scalar subquery, so rows are
-    neither shuffled nor joined.
+    Scales learned from other rows may be given, as for a held-out part.
     """
-    stats = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"{c}_mean") for c in columns],
-            *[F.stddev_samp(c).alias(f"{c}_std") for c in columns],
-        )
-    ).scalar()
-    with_stats = df.withColumn("_stats", stats)
-    scaled = {
-        f"{c}_scaled": F.when(
-            F.col(f"_stats.{c}_std") > 0,
-            (F.col(c) - F.col(f"_stats.{c}_mean")) / F.col(f"_stats.{c}_std"),
-        ).otherwise(F.lit(0.0))
-        for c in columns
-    }
-    return with_stats.withColumns(scaled).drop("_stats")
+    known = column_scales(df, columns) if scales is None else scales
+    scaled = {}
+    for column in columns:
+        mean, deviation = known[column]
+        shifted = (F.col(column) - mean) / deviation if deviation else F.lit(0.0)
+        scaled[f"{column}_scaled"] = shifted
+    return df.withColumns(scaled)
 
 
 def fit_targets(

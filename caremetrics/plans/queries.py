@@ -132,7 +132,7 @@ def _streamed(spark, sf_dir):
     parts = standins.items_file(spark, sf_dir)
     feeds.publish(parts, f"{base}/landing")
     feeds.publish(parts.where(F.col("ReportingUnitCode") == "NAT"), f"{base}/landing")
-    stream.run_items_stream(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", 8)
+    stream.run_items_stream(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", 12)
     return f"{base}/table"
 
 
