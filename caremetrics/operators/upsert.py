@@ -27,16 +27,17 @@ def new_rows(incoming: DataFrame, existing: DataFrame, key: str, within: str | N
     """Rows of ``incoming`` whose key is not in ``existing``, each key once.
 
     ``within`` names a column that the key determines (the dataset id of an
-    item). The stored table is then read only between the lowest and highest
-    incoming value of it, which Parquet statistics turn into skipped row groups.
+    item). Its lowest and highest incoming value are looked up first (one row),
+    and the stored table is read only in between: as literals they reach the
+    Parquet scan, which skips row groups by their statistics.
     """
     if key not in incoming.columns:
         raise ValueError(f"incoming rows have no key column {key!r}")
     if within is not None:
-        low = incoming.agg(F.min(within)).scalar()
-        high = incoming.agg(F.max(within)).scalar()
-        existing = existing.where((F.col(within) >= low) & (F.col(within) <= high))
-    return one_row_per_key(incoming, key).join(existing.select(key), key, "left_anti")
+        low, high = incoming.agg(F.min(within), F.max(within)).first()
+        existing = existing.where(F.col(within).between(low, high))
+    unseen = one_row_per_key(incoming, key).join(existing.select(key), key, "left_anti")
+    return unseen.select(*incoming.columns)
 
 
 def append_new(table: str, incoming: DataFrame) -> None:
@@ -44,8 +45,11 @@ def append_new(table: str, incoming: DataFrame) -> None:
     spec = TABLES[table]
     spark = incoming.sparkSession
     columns = spec.schema.fieldNames()
-    fresh = new_rows(incoming, spark.table(table), spec.key).select(*columns)
-    fresh.write.mode("append").format("parquet").bucketBy(
+    within = spec.bucket_by if spec.bucket_by != spec.key else None
+    fresh = new_rows(incoming, spark.table(table), spec.key, within).select(*columns)
+    # Gathers each bucket in few tasks; an oversized bucket is split at runtime.
+    gathered = fresh.hint("rebalance", spec.bucket_by)
+    gathered.write.mode("append").format("parquet").bucketBy(
         _buckets(spark, table), spec.bucket_by
     ).saveAsTable(table)
 
