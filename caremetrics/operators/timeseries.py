@@ -57,9 +57,9 @@ def decompose(
             *keys,
             date,
             value,
-            F.round("trend", 6).alias("trend"),
-            F.round("seasonal", 6).alias("seasonal"),
-            F.round(y - F.col("trend") - F.col("seasonal"), 6).alias("resid"),
+            "trend",
+            "seasonal",
+            (y - F.col("trend") - F.col("seasonal")).alias("resid"),
         )
     )
 
@@ -103,6 +103,8 @@ def holt(
     squared error. Forecast dates are month ends, the first being that of the
     last observed month.
     """
+    if horizon < 1:
+        raise ValueError("horizon must be at least one month")
     history = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys)
@@ -136,5 +138,5 @@ def holt(
         F.last_day(F.add_months("_last", F.col("step") - 1)).alias("date"),
         F.col("_fit.alpha").alias("alpha"),
         F.col("_fit.beta").alias("beta"),
-        F.round(F.col("_fit.level") + F.col("step") * F.col("_fit.slope"), 6).alias("forecast"),
+        (F.col("_fit.level") + F.col("step") * F.col("_fit.slope")).alias("forecast"),
     )

@@ -238,6 +238,43 @@ _SOLVED = """solved AS (
           + a13 * (a12 * a23 - a22 * a13) AS det FROM moments)
 )"""
 
+# Elastic net (strength 0.1, mix 0.8) on features scaled to unit deviation: the
+# penalty acts on the scaled problem, solved by cyclic coordinate descent.
+_NET_LINES = """scaled_lines AS (
+  SELECT (x1 - avg(x1) OVER ()) / stddev_samp(x1) OVER () AS x1,
+    (x2 - avg(x2) OVER ()) / stddev_samp(x2) OVER () AS x2,
+    (x3 - avg(x3) OVER ()) / stddev_samp(x3) OVER () AS x3, y1, y2
+  FROM lines
+)"""
+_NET_MOMENTS = _MOMENTS.replace("moments AS", "net_moments AS").replace("FROM lines", "FROM scaled_lines").replace(
+    "covar_pop(x3, y) AS c3", "covar_pop(x3, y) AS c3, stddev_pop(y) AS sy"
+)
+_NET_SCALED = """net AS (
+  SELECT target, my, m1, m2, m3, sy, sqrt(a11) AS s1, sqrt(a22) AS s2, sqrt(a33) AS s3,
+    a12 / sqrt(a11 * a22) AS r12, a13 / sqrt(a11 * a33) AS r13, a23 / sqrt(a22 * a33) AS r23,
+    c1 / sqrt(a11) / sy AS g1, c2 / sqrt(a22) / sy AS g2, c3 / sqrt(a33) / sy AS g3,
+    CAST(0.08 AS DOUBLE) / sy AS l1, CAST(0.02 AS DOUBLE) / sy AS l2
+  FROM net_moments
+)"""
+
+
+def _shrunk(x: str) -> str:
+    return f"sign({x}) * greatest(abs({x}) - l1, 0) / (1 + l2)"
+
+
+_NET_STEPS = f"""net_steps AS (
+  SELECT *, 0 AS step, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2, CAST(0 AS DOUBLE) AS w3 FROM net
+  UNION ALL
+  SELECT * EXCLUDE (w1, w2, w3, v1, v2), v1, v2, {_shrunk('(g3 - r13 * v1 - r23 * v2)')} FROM (
+    SELECT *, {_shrunk('(g2 - r12 * v1 - r23 * w3)')} AS v2 FROM (
+      SELECT * REPLACE (step + 1 AS step), {_shrunk('(g1 - r12 * w2 - r13 * w3)')} AS v1
+      FROM net_steps WHERE step < 100))
+)"""
+_NET_SOLVED = """net_solved AS (
+  SELECT target, my, m1, m2, m3, w1 * sy / s1 AS b1, w2 * sy / s2 AS b2, w3 * sy / s3 AS b3
+  FROM net_steps WHERE step = 100
+)"""
+
 _ITEM_COLUMNS = "datasetid, reportingunitcode, value, caveats, id"
 
 
@@ -442,8 +479,8 @@ def oracle() -> dict[str, str]:
             _BUDGET,
         ),
         "seasonal_decompose": _sql(
-            f"""SELECT {PANEL}, reportingstartdate, mean_value, round(t, 6) AS trend,
-                  round(s, 6) AS seasonal, round(mean_value - t - s, 6) AS resid
+            f"""SELECT {PANEL}, reportingstartdate, mean_value, round(t + 1e-9, 6) AS trend,
+                  round(s + 1e-9, 6) AS seasonal, round(mean_value - t - s + 1e-9, 6) AS resid
                 FROM trended JOIN centred USING ({PANEL})
                 WHERE (rn - 1) % 12 = ph""",
             *_DECOMPOSE,
@@ -451,7 +488,7 @@ def oracle() -> dict[str, str]:
         "holt_forecast": _sql(
             f"""SELECT {PANEL}, CAST(k AS INTEGER) AS step,
                   last_day(CAST(last_date + to_months(CAST(k - 1 AS INTEGER)) AS DATE)) AS date,
-                  alpha, beta, round(lv + k * tr, 6) AS forecast
+                  alpha, beta, round(lv + k * tr + 1e-9, 6) AS forecast
                 FROM best CROSS JOIN range(1, 13) steps(k)""",
             *_HOLT,
         ),
@@ -506,4 +543,17 @@ def oracle() -> dict[str, str]:
             _MOMENTS,
             _SOLVED,
         ),
+        "lm_elastic_net": _sql(
+            """SELECT target, 'l_quantity_scaled' AS feature, round(b1, 2) AS coefficient FROM net_solved
+               UNION ALL SELECT target, 'l_discount_scaled', round(b2, 2) FROM net_solved
+               UNION ALL SELECT target, 'l_tax_scaled', round(b3, 2) FROM net_solved
+               UNION ALL SELECT target, '(intercept)', round(my - b1 * m1 - b2 * m2 - b3 * m3, 2)
+               FROM net_solved""",
+            _TRAIN_LINES,
+            _NET_LINES,
+            _NET_MOMENTS,
+            _NET_SCALED,
+            _NET_STEPS,
+            _NET_SOLVED,
+        ),
     }

@@ -312,14 +312,22 @@ def budget_table(spark, sf_dir):
 # --- time series -------------------------------------------------------------------------
 
 
+def _six_places(df, *columns):
+    """Round for comparison. The offset moves values that lie exactly between two
+    results off the tie, where the last bit of a sum would decide."""
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in columns})
+
+
 @_query
 def seasonal_decompose(spark, sf_dir):
-    return timeseries.decompose(measure_series(spark, sf_dir), measures.PANEL)
+    parts = timeseries.decompose(measure_series(spark, sf_dir), measures.PANEL)
+    return _six_places(parts, "trend", "seasonal", "resid")
 
 
 @_query
 def holt_forecast(spark, sf_dir):
-    return timeseries.holt(measure_series(spark, sf_dir), measures.PANEL)
+    forecast = timeseries.holt(measure_series(spark, sf_dir), measures.PANEL)
+    return _six_places(forecast, "forecast")
 
 
 # --- models --------------------------------------------------------------------------------
@@ -397,10 +405,6 @@ def lm_multi(spark, sf_dir):
 @_query
 def lm_elastic_net(spark, sf_dir):
     scaled = models.standardize(_training_lines(spark, sf_dir), FEATURES)
-    return models.fit_targets(
-        scaled,
-        TARGETS,
-        [f"{c}_scaled" for c in FEATURES],
-        reg_param=0.1,
-        elastic_net=models.ELASTIC_NET,
-    )
+    names = [f"{c}_scaled" for c in FEATURES]
+    fitted = models.fit_targets(scaled, TARGETS, names, 0.1, models.ELASTIC_NET)
+    return fitted.withColumn("coefficient", F.round("coefficient", 2))

@@ -118,7 +118,7 @@ def test_forecast_continues_a_straight_line_from_the_last_month(spark):
     line = [3 + 2 * i for i in range(20)]
     got = timeseries.holt(_series(spark, a=line, short=line[:11]), ["k"], horizon=3).orderBy("step").collect()
     assert [(r["k"], r["step"]) for r in got] == [("a", 1), ("a", 2), ("a", 3)]
-    assert [r["forecast"] for r in got] == [43.0, 45.0, 47.0]
+    assert [r["forecast"] for r in got] == pytest.approx([43.0, 45.0, 47.0])
     # Month ends, beginning with that of the last observed month (2016-08).
     assert [r["date"] for r in got] == [day("2016-08-31"), day("2016-09-30"), day("2016-10-31")]
 
