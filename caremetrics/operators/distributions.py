@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caremetrics.functions.joins import small_side
 from caremetrics.functions.numbers import mean_of
 from caremetrics.functions.ordering import linear_percentiles, value_ranks
 from caremetrics.operators.measures import PANEL
+from caremetrics.session import checkpointed
 
 # Fixed value: number of histogram bins.
 BINS = 20
@@ -31,12 +33,14 @@ def heatmap(cube: DataFrame) -> DataFrame:
 def histogram(panel_rows: DataFrame, bins: int = BINS) -> DataFrame:
     """Equal-width bins between each panel's extremes; the last bin is closed.
 
-    Both passes combine inside the map tasks; what is shuffled is at most
+    The extremes (a row per panel) are found in a first pass and kept, so that
+    the second can bin the rows where they are: what is shuffled is at most
     ``bins`` rows per panel and task. Empty bins are part of the result.
     """
     values = panel_rows.select(*PANEL, "value")
     limits = values.groupBy(*PANEL).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     limits = limits.withColumn("_width", (F.col("_hi") - F.col("_lo")) / bins)
+    limits = small_side(checkpointed(limits))
     position = F.when(
         F.col("_width") > 0,
         F.least(F.floor((F.col("value") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1)),

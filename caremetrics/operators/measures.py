@@ -12,14 +12,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from caremetrics.functions.joins import small_side
 from caremetrics.functions.numbers import exact_mean, exact_total, mean_of, percent_text
 from caremetrics.schemas import NATIONAL_UNIT
+from caremetrics.session import checkpointed
+from caremetrics.sources.literals import literal_rows
 from caremetrics.sources.standins import CareTables
 from caremetrics.sources.tables import fetch
 
 MEASURE = ["measurename", "reportedmeasurename"]
 PANEL = [*MEASURE, "state"]
+FACT = [*MEASURE, "reportingstartdate", "reportingunitcode", "value"]
 PANEL_ROW = [
     "value",
     "reportingstartdate",
@@ -44,8 +49,8 @@ def enrich(datasets: DataFrame, measurements: DataFrame, reported: DataFrame) ->
     """Stored datasets with both measure names, where known."""
     return (
         datasets.where("stored")
-        .join(measurements, "measurecode", "left")
-        .join(reported, "reportedmeasurecode", "left")
+        .join(small_side(measurements), "measurecode", "left")
+        .join(small_side(reported), "reportedmeasurecode", "left")
         .select(*datasets.columns, "measurename", "reportedmeasurename")
     )
 
@@ -77,8 +82,14 @@ def open_states(hospitals: DataFrame) -> DataFrame:
 # --- facts and panels ----------------------------------------------------------
 
 
+def _items(tables: CareTables) -> DataFrame:
+    # A NaN counts as a missing value.
+    value = F.when(~F.isnan("value"), F.col("value")).alias("value")
+    return tables.info.select("datasetid", "reportingunitcode", value)
+
+
 def stored_facts(tables: CareTables) -> DataFrame:
-    """Items of stored datasets with measure names and reporting date.
+    """Items of all stored datasets with measure names and reporting date.
 
     The two large tables are joined first. The name tables come after that
     shuffle, when their measured size decides between broadcast and shuffle.
@@ -86,15 +97,29 @@ def stored_facts(tables: CareTables) -> DataFrame:
     dated = tables.datasets.where("stored").select(
         "datasetid", "reportingstartdate", "measurecode", "reportedmeasurecode"
     )
-    # A NaN counts as a missing value.
-    value = F.when(~F.isnan("value"), F.col("value")).alias("value")
-    items = tables.info.select("datasetid", "reportingunitcode", value)
     return (
-        items.join(dated, "datasetid")
+        _items(tables)
+        .join(dated, "datasetid")
         .join(tables.measurements, "measurecode")
         .join(tables.reported_measurements, "reportedmeasurecode")
-        .select(*MEASURE, "reportingstartdate", "reportingunitcode", "value")
+        .select(*FACT)
+    )
+
+
+def chosen_facts(tables: CareTables, measures: DataFrame) -> DataFrame:
+    """As ``stored_facts``, for the wanted measures only.
+
+    ``measures`` has a measure name and perhaps a reported measure name per row.
+    The matching datasets are found first. If they are few, they are broadcast
+    and the fact table is filtered where it is read; otherwise both are shuffled.
+    """
+    chosen = (
+        enrich(tables.datasets, tables.measurements, tables.reported_measurements)
+        .join(measures.distinct(), measures.columns, "left_semi")
+        .where(F.col("reportedmeasurename").isNotNull())
+        .select("datasetid", "reportingstartdate", *MEASURE)
     )
+    return _items(tables).join(small_side(checkpointed(chosen)), "datasetid").select(*FACT)
 
 
 def _directory(tables: CareTables) -> DataFrame:
@@ -119,29 +144,19 @@ def panels(tables: CareTables) -> DataFrame:
 
 
 _PANEL_TEXT = """
-SELECT i.value, d.reportingstartdate, i.reportingunitcode,
-       h.name AS hospital_name, h.latitude, h.longitude
-FROM {info} i
-JOIN {datasets} d USING (datasetid)
-JOIN {measurements} m USING (measurecode)
-JOIN {reported} r USING (reportedmeasurecode)
-JOIN {hospitals} h ON h.code = i.reportingunitcode
-WHERE d.stored AND m.measurename = :measure AND r.reportedmeasurename = :reported AND h.state = :state
+SELECT f.value, f.reportingstartdate, f.reportingunitcode, h.hospital_name, h.latitude, h.longitude
+FROM {facts} f JOIN {directory} h USING (reportingunitcode)
 """
+_MEASURE_TEXT = "SELECT :measure AS measurename, :reported AS reportedmeasurename"
+_STATE_TEXT = "SELECT * FROM {directory} WHERE state = :state"
 
 
 def panel(spark: SparkSession, tables: CareTables, measure: str, reported: str, state: str) -> DataFrame:
     """One panel by name, as parameterised SQL, oldest first."""
-    rows = fetch(
-        spark,
-        _PANEL_TEXT,
-        {"measure": measure, "reported": reported, "state": state},
-        info=tables.info,
-        datasets=tables.datasets,
-        measurements=tables.measurements,
-        reported=tables.reported_measurements,
-        hospitals=tables.hospitals,
-    )
+    wanted = fetch(spark, _MEASURE_TEXT, {"measure": measure, "reported": reported})
+    here = fetch(spark, _STATE_TEXT, {"state": state}, directory=_mapped(_directory(tables)))
+    facts = chosen_facts(tables, wanted)
+    rows = fetch(spark, _PANEL_TEXT, facts=facts, directory=small_side(here))
     return rows.na.drop("any").orderBy("reportingstartdate")
 
 
@@ -153,7 +168,7 @@ def panel_or_national(tables: CareTables, requested: DataFrame) -> DataFrame:
     ``requested`` is the caller's list of panels, one row each.
     """
     wanted = requested.select(*PANEL).distinct()
-    facts = stored_facts(tables).join(wanted.select(*MEASURE).distinct(), MEASURE, "left_semi")
+    facts = chosen_facts(tables, wanted.select(*MEASURE))
     rows = facts.join(_directory(tables), "reportingunitcode").join(wanted, PANEL)
     missing = wanted.join(rows.select(*PANEL).distinct(), PANEL, "left_anti")
     # `code` is a key, so the national entry of the directory is at most one row.
@@ -183,9 +198,10 @@ def value_cube(facts: DataFrame) -> DataFrame:
     )
 
 
-def panel_cube(tables: CareTables) -> DataFrame:
+def panel_cube(tables: CareTables, facts: DataFrame | None = None) -> DataFrame:
     """The value cube of mapped hospitals, with panel columns and hospital name."""
-    cube = value_cube(stored_facts(tables).na.drop("any"))
+    facts = stored_facts(tables) if facts is None else facts
+    cube = value_cube(facts.na.drop("any"))
     return cube.join(_mapped(_directory(tables)), "reportingunitcode").select(
         *PANEL, "hospital_name", "reportingstartdate", "total", "n"
     )
@@ -218,11 +234,13 @@ def pair(tables: CareTables, measure: str, other: str) -> DataFrame:
     The second measure is averaged over all its reported measures and over
     hospitals without coordinates too; only dates that both series have remain.
     """
-    first = series(panel_cube(tables).where(F.col("measurename") == measure)).select(
+    names = literal_rows(tables.info.sparkSession, [(measure,), (other,)], _NAMES)
+    facts = chosen_facts(tables, names)
+    first = series(panel_cube(tables, facts.where(F.col("measurename") == measure))).select(
         "reportedmeasurename", "state", "reportingstartdate", F.col("mean_value").alias("value_a")
     )
     second = (
-        value_cube(stored_facts(tables).where(F.col("measurename") == other))
+        value_cube(facts.where(F.col("measurename") == other))
         .join(_directory(tables).select("reportingunitcode", "state"), "reportingunitcode")
         .groupBy("state", "reportingstartdate")
         .agg(mean_of(F.sum("total"), F.sum("n")).alias("value_b"))
@@ -230,3 +248,6 @@ def pair(tables: CareTables, measure: str, other: str) -> DataFrame:
     return first.join(second, ["state", "reportingstartdate"]).select(
         "state", "reportedmeasurename", "reportingstartdate", "value_a", "value_b"
     )
+
+
+_NAMES = T.StructType([T.StructField("measurename", T.StringType())])
