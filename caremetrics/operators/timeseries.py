@@ -76,13 +76,13 @@ def _smooth(values: Column, alpha: Column, beta: Column) -> Column:
     )
 
     def step(state: Column, y: Column) -> Column:
+        # Error-correction form of the two smoothing equations.
         expected = state["level"] + state["slope"]
-        level = alpha * y + (1 - alpha) * expected
-        slope = beta * (level - state["level"]) + (1 - beta) * state["slope"]
+        error = y - expected
         return F.struct(
-            level.alias("level"),
-            slope.alias("slope"),
-            (state["sse"] + (y - expected) * (y - expected)).alias("sse"),
+            (expected + alpha * error).alias("level"),
+            (state["slope"] + alpha * beta * error).alias("slope"),
+            (state["sse"] + error * error).alias("sse"),
         )
 
     return F.aggregate(F.slice(values, 3, F.size(values)), start, step)
@@ -105,8 +105,12 @@ def holt(
     """
     if horizon < 1:
         raise ValueError("horizon must be at least one month")
+    # Many steps per value make this heavy in time and light in bytes, so the
+    # series are spread by number and not merged into few tasks by size.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     history = (
         df.where(F.col(value).isNotNull())
+        .repartition(tasks, *keys)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct(date, value))).alias("_history"))
         .where(F.size("_history") >= min_n)

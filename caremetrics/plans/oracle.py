@@ -199,8 +199,8 @@ _HOLT = (
   WHERE s1.rn = 1 AND s2.rn = 2 AND s1.cnt >= 12
   UNION ALL
   SELECT r.measurename, r.reportedmeasurename, r.state, r.alpha, r.beta, r.rn + 1,
-    r.alpha * o.mean_value + (1 - r.alpha) * (r.lv + r.tr),
-    r.beta * (r.alpha * o.mean_value + (1 - r.alpha) * (r.lv + r.tr) - r.lv) + (1 - r.beta) * r.tr,
+    (r.lv + r.tr) + r.alpha * (o.mean_value - (r.lv + r.tr)),
+    r.tr + r.alpha * r.beta * (o.mean_value - (r.lv + r.tr)),
     r.sse + (o.mean_value - (r.lv + r.tr)) * (o.mean_value - (r.lv + r.tr))
   FROM run r JOIN obs o ON r.measurename = o.measurename
     AND r.reportedmeasurename = o.reportedmeasurename AND r.state = o.state AND o.rn = r.rn + 1

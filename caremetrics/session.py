@@ -20,6 +20,8 @@ def build_session(app: str = "caremetrics", cpus: int | str = "*") -> SparkSessi
         # Runtime sizes are compressed bytes; a tenth of the default keeps tables of
         # many rows out of single-threaded hash builds.
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "1m")
+        # No call sites recorded for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CAREMETRICS_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
