@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from caremetrics.llm import decontamination, exact_dedup
+from pyspark.sql import functions as F
+
+from caremetrics.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    licenses,
+    mixing,
+    ngram_join,
+    quality,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,3 +45,43 @@ def op8_exact_dedup(spark, sf_dir):
 def op10_decontamination(spark, sf_dir):
     found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@_query
+def op5_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_ngram_join(spark, sf_dir):
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_url_filters(spark, sf_dir):
+    """Pages are labelled by the document whose number their path ends with."""
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels")
+    number = F.regexp_extract(url_rules.split_url(F.col("url"))["path"], r"/([0-9]{1,18})[^/0-9]*/?$", 1)
+    numbered = pages.select("page_id", F.when(number != "", number.cast("long")).alias("doc_id"))
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    verdict = F.when(bad, url_rules.BLOCK).when(F.col("quality") == 1, url_rules.ALLOW)
+    verdicts = numbered.join(labels, "doc_id").select("page_id", verdict.alias("verdict"))
+    return url_rules.judge(pages, verdicts)
+
+
+@_query
+def op1_mixing(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents"), columns=["doc_id", "source", "lang"])
+
+
+@_query
+def op9_quality(spark, sf_dir):
+    """Site: the source; section: the language within the source."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.posteriors(docs, labels, F.col("source"), F.col("lang"))
