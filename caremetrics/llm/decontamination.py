@@ -184,21 +184,23 @@ def _summarise(words: Words, found: list, near: np.ndarray, index_documents: np.
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
-    id_col: str = "doc_id",
+    columns: list[str],
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
     width: int = WINDOW,
     slop: int = SLOP,
 ) -> DataFrame:
-    """Per document: words, hit words, items, word spans covered, and the number of near windows.
+    """``columns`` of each document, its words, hit words, items, word spans hit, and near windows.
 
-    ``n_near`` counts windows that lie near each other's terms without being there as a phrase.
+    ``n_near`` counts windows whose terms lie near each other without being a phrase.
+    Columns of the input named like a result are left out.
     """
     context = docs.sparkSession.sparkContext
     shared = [context.broadcast(w) for w in _slices(benchmark, item_col, item_text_col, width)]
-    needed = docs.select(id_col, text_col)
-    schema = T.StructType([needed.schema[id_col], *_MATCHES.fields])
+    columns = [c for c in columns if c not in _MATCHES.fieldNames()]
+    needed = docs.select(*dict.fromkeys([*columns, text_col]))
+    schema = T.StructType([*(needed.schema[c] for c in columns), *_MATCHES.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +218,14 @@ def matches(
                     close, at = index.near(windows, slop)
                     for window, doc in set(zip(close.tolist(), owners[at].tolist())) - exact:
                         near[doc] += 1
-                columns = _summarise(words, found, near, owners)
-                yield pa.RecordBatch.from_arrays([part.column(id_col), *columns], schema.fieldNames())
+                results = _summarise(words, found, near, owners)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *results], schema.fieldNames())
 
     return needed.mapInArrow(run, schema)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows without any benchmark window, unchanged."""
+    found = matches(docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns}), benchmark,
+                    [f"own_{c}" for c in docs.columns], f"own_{text_col}")
+    return found.where("NOT contaminated").select(*[F.col(f"own_{c}").alias(c) for c in docs.columns])

@@ -136,11 +136,15 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: one pass, nothing joined back."""
+    own = {c: f"own_{c}" for c in docs.columns}
+    renamed = docs.withColumnsRenamed(own)
+    names, schema, text = renamed.columns, renamed.schema, own[text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
         for batch in batches:
-            first = [row for row, _, _, new in _neighbours(batch, text_col, seen) if new]
-            yield batch.take(pa.array(first, pa.int64())).select(docs.columns)
+            first = [row for row, _, _, new in _neighbours(batch, text, seen) if new]
+            yield batch.take(pa.array(first, pa.int64())).select(names)
 
-    return _content_sorted(docs, id_col, text_col).mapInArrow(run, docs.schema)
+    kept = _content_sorted(renamed, own[id_col], text).mapInArrow(run, schema)
+    return kept.select(*[F.col(o).alias(c) for c, o in own.items()])

@@ -31,6 +31,8 @@ DEPTH = 300
 # more distinct labels is no language column and is refused.
 MAX_LANGUAGES = 5000
 UNDETERMINED = "und"
+# Score below which a text counts as none of the learned languages.
+MIN_SCORE = 0.2
 
 _NONE = (1 << 21) - 1  # marks the places that a shorter n-gram leaves free
 _letters: list[np.ndarray] = []
@@ -184,15 +186,18 @@ def _distances(grams: Grams, known: dict, depth: int) -> tuple[np.ndarray, np.nd
 
 
 def predict(
-    docs: DataFrame, learned: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH
+    docs: DataFrame, learned: DataFrame, columns: list[str], text_col: str = "text", depth: int = DEPTH
 ) -> DataFrame:
-    """``id_col``, lang_pred, score for every row, from the text alone."""
+    """``columns``, lang_pred, score for every row, from the text alone.
+
+    Columns of the input named like the two results are left out.
+    """
     known = _collected(learned, depth)
     shared = docs.sparkSession.sparkContext.broadcast(known)
-    needed = docs.select(id_col, text_col)
-    schema = T.StructType(
-        [needed.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
+    columns = [c for c in columns if c not in ("lang_pred", "score")]
+    needed = docs.select(*dict.fromkeys([*columns, text_col]))
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType([*(needed.schema[c] for c in columns), *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -209,8 +214,9 @@ def predict(
                     best[some] = nearest[some]
                     smallest = apart[nearest, np.arange(n)]
                     score[some] = 1 - smallest[some] / (depth * sizes[some])
-                columns = [part.column(id_col), pa.array(names[best], pa.string()), pa.array(score)]
-                yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+                kept = [part.column(c) for c in columns]
+                found = [pa.array(names[best], pa.string()), pa.array(score)]
+                yield pa.RecordBatch.from_arrays([*kept, *found], schema.fieldNames())
 
     return needed.mapInArrow(run, schema)
 
@@ -225,6 +231,18 @@ def identify(
 ) -> DataFrame:
     """Learn from all folds but the first, predict every row: id, held_out, lang_pred, score."""
     learned = profiles(docs.where(fold(id_col, folds) != 0), lang_col, text_col)
-    found = predict(docs, learned, id_col, text_col)
+    found = predict(docs, learned, [id_col], text_col)
     held_out = F.coalesce(fold(id_col, folds) == 0, F.lit(False))
     return found.select(id_col, held_out.alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_score: float = MIN_SCORE
+) -> DataFrame:
+    """The rows whose text is in some learned language, unchanged; rejected are texts
+    without letters and texts whose n-grams are hardly those of any language."""
+    learned = profiles(docs, lang_col, text_col)
+    own = {c: f"own_{c}" for c in docs.columns}
+    found = predict(docs.withColumnsRenamed(own), learned, list(own.values()), own[text_col])
+    kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    return kept.select(*[F.col(o).alias(c) for c, o in own.items()])

@@ -288,3 +288,12 @@ def similar_documents(
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
     )
+
+
+def keep_one_per_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows of the smallest id of each component, unchanged; rows without an id stay."""
+    found = similar_documents(docs, id_col, text_col, width, percent)
+    others = found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
+    return docs.join(others, id_col, "left_anti").select(docs.columns)

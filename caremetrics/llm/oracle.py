@@ -41,6 +41,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 19), ' ')) AS h
+  FROM d, unnest(range(1, len(w) - 18)) AS t(i)),
+ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS place FROM windows),
+gone AS (
+  SELECT DISTINCT doc_id, k FROM ranked, unnest(range(i, i + 20)) AS t(k) WHERE place > 1),
+marks AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(
+         CASE WHEN ks IS NULL THEN w
+              ELSE list_transform(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(ks, k)), lambda k: w[k])
+         END, ' ')) AS kept_sha256
+FROM d LEFT JOIN marks USING (doc_id)
+"""
+
 
 def oracle() -> dict[str, str]:
-    return {"op8_exact_dedup": _EXACT_DEDUP, "op10_decontamination": _DECONTAMINATION}
+    return {
+        "op6_substring_dedup": _SUBSTRING_DEDUP,
+        "op8_exact_dedup": _EXACT_DEDUP,
+        "op10_decontamination": _DECONTAMINATION,
+    }

@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from caremetrics.llm import (
     decontamination,
     exact_dedup,
     language_id,
     licenses,
+    lm_scoring,
     mixing,
     ngram_join,
     quality,
+    substring_dedup,
     url_rules,
 )
 
@@ -43,7 +46,7 @@ def op8_exact_dedup(spark, sf_dir):
 
 @_query
 def op10_decontamination(spark, sf_dir):
-    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
@@ -85,3 +88,18 @@ def op9_quality(spark, sf_dir):
     """Site: the source; section: the language within the source."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.posteriors(docs, labels, F.col("source"), F.col("lang"))
+
+
+@_query
+def op6_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+@_query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
