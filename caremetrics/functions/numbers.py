@@ -6,25 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_total(value: Column | str, scale: int = 6) -> Column:
-    """Sum that does not depend on the order of the rows.
+def total_of(value: Column | str, exact_scale: int | None = None) -> Column:
+    """Sum of doubles of any size.
 
-    Summing doubles gives different last bits with every shuffle order; decimals
-    do not. ``scale`` is the number of decimal places kept of each value.
+    Their last bits depend on the order of the rows. Where values are known to
+    have at most ``exact_scale`` decimal places and 18 digits in all, as prices
+    do, that scale may be given: sums of decimals are the same in any order.
     """
     column = F.col(value) if isinstance(value, str) else value
-    return F.sum(column.cast(f"decimal(18,{scale})"))
+    return F.sum(column if exact_scale is None else column.cast(f"decimal(18,{exact_scale})"))
 
 
 def mean_of(total: Column | str, count: Column | str) -> Column:
-    """Mean from an exact total and a count; null where nothing was counted."""
+    """Mean from a total and a count; null where nothing was counted."""
     total = F.col(total) if isinstance(total, str) else total
     count = F.col(count) if isinstance(count, str) else count
     return F.when(count > 0, total.cast("double") / count)
 
 
-def exact_mean(value: Column | str, scale: int = 6) -> Column:
-    return mean_of(exact_total(value, scale), F.count(value))
+def mean(value: Column | str, exact_scale: int | None = None) -> Column:
+    return mean_of(total_of(value, exact_scale), F.count(value))
 
 
 def lenient_number(text: Column) -> Column:

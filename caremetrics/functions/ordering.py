@@ -1,8 +1,8 @@
 """Exact global ordering without putting a whole group into one task.
 
 ``row_number``/``rank`` over a group, and exact percentiles, send the group to a
-single task. Here the group is cut into value ranges first: a fixed number of
-its own values serve as cut points, rows are counted per range, the short table
+single task. Here the group is cut into value ranges first: some of its own values
+(hundreds, more for a large ungrouped table) serve as cut points, rows are counted per range, the short table
 of counts is prefix-summed, and only the rows inside one range are ordered in
 one task. Cut points only steer the balance; every result is exact.
 
@@ -17,24 +17,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caremetrics.functions.joins import salted_join
+
+# Cut points of a group, at least; and rows of an ungrouped table per cut point.
 SLOTS = 256
+ROWS_PER_SLOT = 1_000_000
+
+
+def slots_for(rows: int) -> int:
+    """Cut points for a table of so many rows: a power of two that grows with it."""
+    return max(SLOTS, 1 << max(0, rows // ROWS_PER_SLOT).bit_length())
 
 
-def _cut_points(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
-    """Per key at most ``SLOTS`` of its values, chosen by hash.
+def _cut_points(df: DataFrame, keys: Sequence[str], value: str, weight: str, slots: int = SLOTS) -> DataFrame:
+    """Per key at most ``slots`` of its values, chosen by hash.
 
     The choice depends on the values alone (not on row order), so branches of
     a plan and retried tasks agree on it. The filter holds for every row; naming
     the weight keeps the input equal in all branches, so its shuffle is reused.
     """
     digest = F.xxhash64(F.col(value))
-    picked = df.where(F.col(weight) > 0).groupBy(*keys, F.pmod(digest, F.lit(SLOTS)).alias("_slot")).agg(
+    picked = df.where(F.col(weight) > 0).groupBy(*keys, F.pmod(digest, F.lit(slots)).alias("_slot")).agg(
         F.min_by(value, digest).alias("_cut")
     )
     return picked.groupBy(*keys).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
 
 
-def _range_no(placed: DataFrame, value: str) -> DataFrame:
+def _range_no(placed: DataFrame, value: str, slots: int = SLOTS) -> DataFrame:
     """Replace ``_cuts`` by ``_range``: the number of cut points at or below the value.
 
     A bisection written as one column per halving step, each built on the one
@@ -43,7 +52,7 @@ def _range_no(placed: DataFrame, value: str) -> DataFrame:
     """
     names = ["_at"]
     steps = [F.lit(0).alias("_at")]
-    for k in reversed(range(SLOTS.bit_length())):
+    for k in reversed(range(slots.bit_length())):
         at, step = F.col(names[-1]), 1 << k
         taken = F.get("_cuts", at + (step - 1)) <= F.col(value)
         names.append(f"_at{k}")
@@ -53,10 +62,14 @@ def _range_no(placed: DataFrame, value: str) -> DataFrame:
 
 
 def _with_ranges(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
-    cuts = _cut_points(df, keys, value, weight)
+    if keys:
+        # A group of any size meets its cut points in several tasks.
+        cuts = _cut_points(df, keys, value, weight)
+        return _range_no(salted_join(df, cuts, keys, F.col(value)), value)
     # Without keys the cut points are one row: a scalar subquery, not a join.
-    placed = df.join(cuts, list(keys)) if keys else df.withColumn("_cuts", cuts.scalar())
-    return _range_no(placed, value)
+    slots = slots_for(df.count())
+    cuts = _cut_points(df, keys, value, weight, slots)
+    return _range_no(df.withColumn("_cuts", cuts.scalar()), value, slots)
 
 
 def _range_offsets(ranged: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:

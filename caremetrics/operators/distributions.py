@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caremetrics.functions.joins import small_side
+from caremetrics.functions.joins import salted_join, small_side
 from caremetrics.functions.numbers import mean_of
-from caremetrics.functions.ordering import linear_percentiles, value_ranks
+from caremetrics.functions.ordering import linear_percentiles
 from caremetrics.operators.measures import PANEL
 from caremetrics.session import checkpointed
 
@@ -16,11 +16,15 @@ BINS = 20
 
 
 def ranking(cube: DataFrame) -> DataFrame:
-    """Mean per hospital and its rank in the panel, highest first."""
+    """Mean per hospital and its rank in the panel, highest first.
+
+    A window holds one row per hospital of the panel, after the means are formed.
+    """
     means = cube.groupBy(*PANEL, "hospital_name").agg(
         mean_of(F.sum("total"), F.sum("n")).alias("mean_value")
     )
-    return value_ranks(means, PANEL, "mean_value", descending=True)
+    highest_first = Window.partitionBy(*PANEL).orderBy(F.desc("mean_value"))
+    return means.withColumn("rank", F.rank().over(highest_first).cast("long"))
 
 
 def heatmap(cube: DataFrame) -> DataFrame:
@@ -40,13 +44,15 @@ def histogram(panel_rows: DataFrame, bins: int = BINS) -> DataFrame:
     values = panel_rows.select(*PANEL, "value")
     limits = values.groupBy(*PANEL).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     limits = limits.withColumn("_width", (F.col("_hi") - F.col("_lo")) / bins)
-    limits = small_side(checkpointed(limits))
+    limits = checkpointed(limits)
     position = F.when(
         F.col("_width") > 0,
         F.least(F.floor((F.col("value") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1)),
     ).otherwise(F.lit(0))
+    sided = small_side(limits)
+    binned = values.join(sided, PANEL) if sided is not limits else salted_join(values, limits, PANEL, F.col("value"))
     counted = (
-        values.join(limits, PANEL)
+        binned
         .groupBy(*PANEL, position.cast("int").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
@@ -72,11 +78,11 @@ def box(panel_rows: DataFrame) -> DataFrame:
     values = panel_rows.groupBy(*keys, "value").agg(F.count("*").alias("_rows"))
     quartiles = linear_percentiles(
         values, keys, "value", "_rows", {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    ).select(*keys, *[F.round(q, 6).alias(q) for q in ("q1", "median", "q3")])
+    )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
     return (
-        values.join(quartiles, keys)
+        salted_join(values, quartiles, keys, F.col("value"))
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("lo_whisker"),

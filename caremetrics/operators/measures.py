@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caremetrics.functions.joins import small_side
-from caremetrics.functions.numbers import exact_mean, exact_total, mean_of, percent_text
+from caremetrics.functions.numbers import mean, mean_of, percent_text, total_of
+from caremetrics.operators.facilities import mapped
 from caremetrics.schemas import NATIONAL_UNIT
 from caremetrics.session import checkpointed
 from caremetrics.sources.literals import literal_rows
@@ -49,8 +50,8 @@ def enrich(datasets: DataFrame, measurements: DataFrame, reported: DataFrame) ->
     """Stored datasets with both measure names, where known."""
     return (
         datasets.where("stored")
-        .join(small_side(measurements), "measurecode", "left")
-        .join(small_side(reported), "reportedmeasurecode", "left")
+        .join(measurements, "measurecode", "left")
+        .join(reported, "reportedmeasurecode", "left")
         .select(*datasets.columns, "measurename", "reportedmeasurename")
     )
 
@@ -75,6 +76,15 @@ def reported_options(tables: CareTables, measure: str) -> DataFrame:
     return _options(_named_codes(tables).where(F.col("measurename") == measure), "reportedmeasurename")
 
 
+def hospital_states(hospitals: DataFrame) -> DataFrame:
+    """States of all hospitals that can be put on the map, open or not."""
+    return _options(mapped(hospitals), "state")
+
+
+def hospital_statuses(hospitals: DataFrame) -> DataFrame:
+    return _options(mapped(hospitals), "open_closed")
+
+
 def open_states(hospitals: DataFrame) -> DataFrame:
     return _options(hospitals.where(F.col("open_closed") == "Open"), "state")
 
@@ -91,19 +101,15 @@ def _items(tables: CareTables) -> DataFrame:
 def stored_facts(tables: CareTables) -> DataFrame:
     """Items of all stored datasets with measure names and reporting date.
 
-    The two large tables are joined first. The name tables come after that
-    shuffle, when their measured size decides between broadcast and shuffle.
+    Datasets are named first, so that the facts are joined once.
     """
-    dated = tables.datasets.where("stored").select(
-        "datasetid", "reportingstartdate", "measurecode", "reportedmeasurecode"
-    )
-    return (
-        _items(tables)
-        .join(dated, "datasetid")
+    named = (
+        tables.datasets.where("stored")
+        .select("datasetid", "reportingstartdate", "measurecode", "reportedmeasurecode")
         .join(tables.measurements, "measurecode")
         .join(tables.reported_measurements, "reportedmeasurecode")
-        .select(*FACT)
     )
+    return _items(tables).join(named, "datasetid").select(*FACT)
 
 
 def chosen_facts(tables: CareTables, measures: DataFrame) -> DataFrame:
@@ -156,7 +162,7 @@ def panel(spark: SparkSession, tables: CareTables, measure: str, reported: str,
     wanted = fetch(spark, _MEASURE_TEXT, {"measure": measure, "reported": reported})
     here = fetch(spark, _STATE_TEXT, {"state": state}, directory=_mapped(_directory(tables)))
     facts = chosen_facts(tables, wanted)
-    rows = fetch(spark, _PANEL_TEXT, facts=facts, directory=small_side(here))
+    rows = fetch(spark, _PANEL_TEXT, facts=facts, directory=here)
     return rows.na.drop("any").orderBy("reportingstartdate")
 
 
@@ -191,17 +197,17 @@ def panel_or_national(tables: CareTables, requested: DataFrame) -> DataFrame:
 # --- series ---------------------------------------------------------------------
 
 
-def value_cube(facts: DataFrame) -> DataFrame:
-    """Exact total and count per (measure, reported measure, unit, date)."""
+def value_cube(facts: DataFrame, exact_scale: int | None = None) -> DataFrame:
+    """Total and count per (measure, reported measure, unit, date)."""
     return facts.groupBy(*MEASURE, "reportingunitcode", "reportingstartdate").agg(
-        exact_total("value").alias("total"), F.count("value").alias("n")
+        total_of("value", exact_scale).alias("total"), F.count("value").alias("n")
     )
 
 
-def panel_cube(tables: CareTables, facts: DataFrame | None = None) -> DataFrame:
+def panel_cube(tables: CareTables, facts: DataFrame | None = None, exact_scale: int | None = None) -> DataFrame:
     """The value cube of mapped hospitals, with panel columns and hospital name."""
     facts = stored_facts(tables) if facts is None else facts
-    cube = value_cube(facts.na.drop("any"))
+    cube = value_cube(facts.na.drop("any"), exact_scale)
     return cube.join(_mapped(_directory(tables)), "reportingunitcode").select(
         *PANEL, "hospital_name", "reportingstartdate", "total", "n"
     )
@@ -209,15 +215,15 @@ def panel_cube(tables: CareTables, facts: DataFrame | None = None) -> DataFrame:
 
 def series(cube: DataFrame) -> DataFrame:
     """Mean value per panel and reporting date."""
-    mean = mean_of(F.sum("total"), F.sum("n"))
-    return cube.groupBy(*PANEL, "reportingstartdate").agg(mean.alias("mean_value"))
+    value = mean_of(F.sum("total"), F.sum("n"))
+    return cube.groupBy(*PANEL, "reportingstartdate").agg(value.alias("mean_value"))
 
 
-def national_series(tables: CareTables) -> DataFrame:
+def national_series(tables: CareTables, exact_scale: int | None = None) -> DataFrame:
     """National mean per measure, reported measure and date."""
     national = stored_facts(tables).where(F.col("reportingunitcode") == NATIONAL_UNIT)
     return national.groupBy(*MEASURE, "reportingstartdate").agg(
-        exact_mean("value").alias("national_mean")
+        mean("value", exact_scale).alias("national_mean")
     )
 
 
@@ -228,7 +234,7 @@ def with_national(panel_series: DataFrame, national: DataFrame) -> DataFrame:
     )
 
 
-def pair(tables: CareTables, measure: str, other: str) -> DataFrame:
+def pair(tables: CareTables, measure: str, other: str, exact_scale: int | None = None) -> DataFrame:
     """Two measures side by side by date, for every reported measure and state.
 
     The second measure is averaged over all its reported measures and over
@@ -236,11 +242,11 @@ def pair(tables: CareTables, measure: str, other: str) -> DataFrame:
     """
     names = literal_rows(tables.info.sparkSession, [(measure,), (other,)], _NAMES)
     facts = chosen_facts(tables, names)
-    first = series(panel_cube(tables, facts.where(F.col("measurename") == measure))).select(
+    first = series(panel_cube(tables, facts.where(F.col("measurename") == measure), exact_scale)).select(
         "reportedmeasurename", "state", "reportingstartdate", F.col("mean_value").alias("value_a")
     )
     second = (
-        value_cube(facts.where(F.col("measurename") == other))
+        value_cube(facts.where(F.col("measurename") == other), exact_scale)
         .join(_directory(tables).select("reportingunitcode", "state"), "reportingunitcode")
         .groupBy("state", "reportingstartdate")
         .agg(mean_of(F.sum("total"), F.sum("n")).alias("value_b"))

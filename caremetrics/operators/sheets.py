@@ -18,15 +18,23 @@ from caremetrics.functions.ordering import with_ordinal
 
 @dataclass(frozen=True)
 class Sheet:
-    """Where the body of a sheet is: row span (inclusive) and column numbers by name."""
+    """Where the body of a sheet is: first row, and column numbers by name.
+
+    It ends with ``last_row``, if given. Else, with ``by_years``, it ends with the
+    last row whose first cell is a year label, so that notes below stay out
+    however many years there are.
+    """
 
     workbook: str
     sheet: str
     first_row: int
-    last_row: int | None
+    last_row: int | None = None
     columns: dict[str, int] = field(default_factory=dict)
+    by_years: bool = True
 
 
+# A year, or two years joined by a dash.
+YEAR_LABEL = "^ *[0-9]{4} *([–-] *[0-9]{2,4} *)?$"
 # Positions of the sheets in use.
 LENGTH_OF_STAY = Sheet("Admitted Patients", "Table 2.9", 4, 9)
 LENGTH_OF_STAY_HEADER = 2
@@ -36,14 +44,14 @@ PRICES = Sheet(
     "Expenditure",
     "Table 1",
     4,
-    13,
+    None,
     {"year": 0, "current_price": 1, "constant_price": 2, "nominal_change": 4, "real_growth": 5},
 )
 BY_STATE = Sheet(
     "Expenditure",
     "Table 4",
     2,
-    12,
+    None,
     {
         "year": 0,
         "NSW": 1,
@@ -61,20 +69,23 @@ PER_CAPITA = Sheet(
     "Expenditure",
     "Table 5",
     5,
-    14,
+    None,
     {"NSW": 1, "Vic": 4, "Qld": 7, "WA": 10, "SA": 13, "Tas": 16, "NT": 19, "NAT": 22},
 )
-GDP = Sheet("Expenditure", "Table 7", 3, 13, {"year": 0, "gdp": 4, "ratio": 6})
+GDP = Sheet("Expenditure", "Table 7", 3, None, {"year": 0, "gdp": 4, "ratio": 6})
 FIRST_BUDGET_YEAR = 2011
 
 
 def sheet_body(cells: DataFrame, sheet: Sheet) -> DataFrame:
     """The cells of the body rows of one sheet."""
     here = (F.col("workbook") == sheet.workbook) & (F.col("sheet") == sheet.sheet)
-    below = F.col("row_no") >= sheet.first_row
+    body = cells.where(here & (F.col("row_no") >= sheet.first_row)).select("row_no", "col_no", "cell")
     if sheet.last_row is not None:
-        below = below & (F.col("row_no") <= sheet.last_row)
-    return cells.where(here & below).select("row_no", "col_no", "cell")
+        return body.where(F.col("row_no") <= sheet.last_row)
+    if not sheet.by_years:
+        return body
+    labelled = body.where((F.col("col_no") == 0) & F.col("cell").rlike(YEAR_LABEL))
+    return body.where(F.col("row_no") <= labelled.agg(F.max("row_no")).scalar())
 
 
 def tidy_sheet(cells: DataFrame, sheet: Sheet) -> DataFrame:
@@ -94,7 +105,8 @@ def length_of_stay(cells: DataFrame) -> DataFrame:
     spec = LENGTH_OF_STAY
     header_row = Sheet(spec.workbook, spec.sheet, LENGTH_OF_STAY_HEADER, LENGTH_OF_STAY_HEADER)
     # The header has one row per sheet column and the body six labels: both are
-    # bounded by the layout of the sheet.
+    # bounded by the layout of the sheet. Every label gets every year of the
+    # header, and the days that the sheet has for them, if any.
     header = (
         sheet_body(cells, header_row)
         .where((F.col("col_no") > 0) & ~F.col("cell").isin(*LENGTH_OF_STAY_SKIPPED))
@@ -110,10 +122,12 @@ def length_of_stay(cells: DataFrame) -> DataFrame:
     block: Column = F.lit(None)
     for name, (first, last) in LENGTH_OF_STAY_BLOCKS.items():
         block = F.when(F.col("row_no").between(first, last), name).otherwise(block)
+    years = header.agg(F.collect_list(F.struct("col_no", "year"))).scalar()
+    places = labels.select("row_no", "hospital_type", F.explode(years).alias("head"))
+    places = places.select("row_no", "hospital_type", F.col("head.col_no").alias("col_no"), F.col("head.year").alias("year"))
+    days = body.where(F.col("col_no") > 0).groupBy("row_no", "col_no").agg(F.max("cell").alias("cell"))
     return (
-        body.where(F.col("col_no") > 0)
-        .join(F.broadcast(header), "col_no")
-        .join(F.broadcast(labels), "row_no")
+        places.join(days, ["row_no", "col_no"], "left")
         .select(block.alias("block"), "hospital_type", "year", lenient_number(F.col("cell")).alias("days"))
     )
 
@@ -167,7 +181,7 @@ def budget_table(cells: DataFrame) -> DataFrame:
 
 def population(cells: DataFrame, workbook: str = "Population", sheet: str = "Sheet 1") -> DataFrame:
     """(year, total_population): first and last column; rows with a gap are notes."""
-    body = sheet_body(cells, Sheet(workbook, sheet, 2, None))
+    body = sheet_body(cells, Sheet(workbook, sheet, 2, by_years=False))
     last = body.agg(F.max("col_no")).scalar()
     total_text = F.max(F.when(F.col("col_no") == F.col("_last"), F.col("cell")))
     year_text = F.max(F.when(F.col("col_no") == 0, F.col("cell")))

@@ -130,7 +130,7 @@ _BUDGET = f"""budget AS (
   SELECT CAST(2011 + p.period AS INTEGER) AS year, CAST(any_value(p.total) AS DOUBLE) AS "NAT",
     {_state_columns(PER_PERSON_STATES, _BUDGET_LABELS, 'DOUBLE')}
   FROM periods p LEFT JOIN state_periods s ON p.period = s.period
-  WHERE p.period BETWEEN 0 AND 9 GROUP BY p.period
+  WHERE p.period >= 0 GROUP BY p.period
 )"""
 _BUDGET_COLUMNS = ", ".join(f'"{c}"' for c in sorted([*_BUDGET_LABELS, "NAT"]))
 
@@ -156,7 +156,7 @@ _PRICES = f"""prices AS (
     CAST(total * 2 AS DOUBLE) AS constant_price,
     CASE WHEN period = 0 THEN NULL ELSE CAST(n * 2 AS DOUBLE) END AS nominal_change,
     CASE WHEN period % 3 = 0 THEN NULL ELSE CAST(n AS DOUBLE) END AS real_growth
-  FROM periods WHERE period BETWEEN 0 AND 9
+  FROM periods WHERE period >= 0
 )"""
 
 _DENSITY_ROWS = ", ".join(f"('{s}', CAST({n} AS BIGINT))" for s, n in REGION_POPULATION.items())
@@ -346,6 +346,8 @@ def oracle() -> dict[str, str]:
         "open_states": _sql(
             "SELECT DISTINCT state FROM hospitals WHERE open_closed = 'Open' ORDER BY 1"
         ),
+        "hospital_states": _sql("SELECT DISTINCT state FROM mapped ORDER BY 1"),
+        "hospital_statuses": _sql("SELECT DISTINCT open_closed FROM mapped ORDER BY 1"),
         "measure_panel": _sql(
             f"SELECT {PANEL_ROW} FROM panels WHERE {panel_where} ORDER BY reportingstartdate"
         ),
@@ -394,17 +396,17 @@ def oracle() -> dict[str, str]:
                   (max(value) - min(value)) / 20 AS w FROM panels GROUP BY {PANEL})""",
         ),
         "box_stats": _sql(
-            f"""SELECT {PANEL}, hospital_name, q1, median, q3,
+            f"""SELECT {PANEL}, hospital_name, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
                   min(value) FILTER (fine) AS lo_whisker, max(value) FILTER (fine) AS hi_whisker,
                   count(*) FILTER (NOT fine) AS outliers
                 FROM (SELECT p.{PANEL.replace(', ', ', p.')}, p.hospital_name, p.value, q.q1, q.median, q.q3,
                     p.value BETWEEN q.q1 - (q.q3 - q.q1) * CAST(1.5 AS DOUBLE)
                       AND q.q3 + (q.q3 - q.q1) * CAST(1.5 AS DOUBLE) AS fine
-                  FROM panels p JOIN quartiles q USING ({PANEL}, hospital_name))
-                GROUP BY ALL""",
+                  FROM panels p JOIN quartiles q USING ({PANEL}, hospital_name)) AS b
+                GROUP BY {PANEL}, hospital_name, b.q1, b.median, b.q3""",
             f"""quartiles AS (SELECT {PANEL}, hospital_name,
-                  round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median,
-                  round(quantile_cont(value, 0.75), 6) AS q3
+                  quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                  quantile_cont(value, 0.75) AS q3
                 FROM panels GROUP BY {PANEL}, hospital_name)""",
         ),
         "hospital_date_heatmap": _sql(
@@ -440,16 +442,21 @@ def oracle() -> dict[str, str]:
             f"""SELECT CAST(2 + p.period AS INTEGER) AS row_no, {LABEL.replace('period', 'p.period')} AS year,
                   {_state_columns(STATES, STATES)}, CAST(any_value(p.total) AS VARCHAR) AS "Australia"
                 FROM periods p LEFT JOIN state_periods s ON p.period = s.period
-                WHERE p.period BETWEEN 0 AND 10 GROUP BY p.period"""
+                WHERE p.period >= 0 GROUP BY p.period"""
         ),
         "length_of_stay_long": _sql(
-            f"""SELECT CASE l_linestatus WHEN 'O' THEN 'Public' ELSE 'Private' END AS block,
+            f"""SELECT block, hospital_type, {LABEL} AS year, days
+                FROM (SELECT * FROM (SELECT DISTINCT period FROM stays) AS years(period),
+                    (VALUES ('Public'), ('Private')) AS blocks(block),
+                    (VALUES ('Acute'), ('Subacute'), ('Other')) AS kinds(hospital_type))
+                LEFT JOIN stays USING (period, block, hospital_type)""",
+            f"""stays AS (
+                SELECT CASE l_linestatus WHEN 'O' THEN 'Public' ELSE 'Private' END AS block,
                   CASE l_returnflag WHEN 'A' THEN 'Acute' WHEN 'N' THEN 'Subacute' ELSE 'Other' END
                     AS hospital_type,
-                  {LABEL} AS year,
+                  {PERIOD.format(d='l_shipdate')} AS period,
                   CAST(CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) * 100 // count(*) AS DOUBLE) / 100 AS days
-                FROM (SELECT *, {PERIOD.format(d='l_shipdate')} AS period FROM lineitem)
-                GROUP BY l_linestatus, l_returnflag, period"""
+                FROM lineitem GROUP BY ALL)""",
         ),
         "spend_prices": _sql("SELECT * FROM prices", _PRICES),
         "spend_prices_long": _sql(
@@ -462,14 +469,14 @@ def oracle() -> dict[str, str]:
         "spend_by_state": _sql(
             f"""SELECT {LABEL} AS year, state,
                   CASE WHEN state = 'NT' AND period % 5 = 0 THEN NULL ELSE CAST(total AS DOUBLE) END AS amount
-                FROM state_periods WHERE period BETWEEN 0 AND 10
+                FROM state_periods WHERE period >= 0
                 UNION ALL SELECT {LABEL}, 'Australia', CAST(total AS DOUBLE)
-                FROM periods WHERE period BETWEEN 0 AND 10"""
+                FROM periods WHERE period >= 0"""
         ),
         "gdp_ratio": _sql(
             """SELECT CAST(2011 + period AS INTEGER) AS year, CAST(total AS DOUBLE) AS gdp,
                  CASE WHEN period % 4 = 0 THEN NULL ELSE CAST(n AS DOUBLE) END AS ratio
-               FROM periods WHERE period BETWEEN 0 AND 10"""
+               FROM periods WHERE period >= 0"""
         ),
         "budget_table": _sql(
             " UNION ALL ".join(
@@ -479,8 +486,9 @@ def oracle() -> dict[str, str]:
             _BUDGET,
         ),
         "seasonal_decompose": _sql(
-            f"""SELECT {PANEL}, reportingstartdate, mean_value, round(t + 1e-9, 6) AS trend,
-                  round(s + 1e-9, 6) AS seasonal, round(mean_value - t - s + 1e-9, 6) AS resid
+            f"""SELECT {PANEL}, reportingstartdate, mean_value, floor(round(t, 9) * 10000 + 0.5::DOUBLE) / 10000 AS trend,
+                  floor(round(s, 9) * 10000 + 0.5::DOUBLE) / 10000 AS seasonal,
+                  floor(round(mean_value - t - s, 9) * 10000 + 0.5::DOUBLE) / 10000 AS resid
                 FROM trended JOIN centred USING ({PANEL})
                 WHERE (rn - 1) % 12 = ph""",
             *_DECOMPOSE,
@@ -488,7 +496,7 @@ def oracle() -> dict[str, str]:
         "holt_forecast": _sql(
             f"""SELECT {PANEL}, CAST(k AS INTEGER) AS step,
                   last_day(CAST(last_date + to_months(CAST(k - 1 AS INTEGER)) AS DATE)) AS date,
-                  alpha, beta, round(lv + k * tr + 1e-9, 6) AS forecast
+                  alpha, beta, floor(round(lv + k * tr, 8) * 10000 + 0.5::DOUBLE) / 10000 AS forecast
                 FROM best CROSS JOIN range(1, 13) steps(k)""",
             *_HOLT,
         ),

@@ -33,8 +33,10 @@ REQUESTED = [
     ("LOW", "Open", "EUROPE"),
     ("LOW", "Open", "EXTERNAL TERRITORY"),
 ]
-# Region populations; MIDDLE EAST has none on purpose.
-REGION_POPULATION = {"AFRICA": 7317500, "AMERICA": 5640900, "ASIA": 4599400, "EUROPE": 511000}
+# Made-up region populations; MIDDLE EAST has none on purpose.
+REGION_POPULATION = {"AFRICA": 1200000, "AMERICA": 3400000, "ASIA": 5600000, "EUROPE": 780000}
+# Prices of the given tables have two decimals, so their sums can be exact.
+CENTS = 2
 UNITS = ["AFRICA", "AMERICA", "ASIA", "MIDDLE EAST", "NAT"]
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
 TARGETS = ["l_extendedprice", "net_price"]
@@ -176,6 +178,16 @@ def open_states(spark, sf_dir):
     return measures.open_states(standins.hospitals(spark, sf_dir))
 
 
+@_query
+def hospital_states(spark, sf_dir):
+    return measures.hospital_states(standins.hospitals(spark, sf_dir))
+
+
+@_query
+def hospital_statuses(spark, sf_dir):
+    return measures.hospital_statuses(standins.hospitals(spark, sf_dir))
+
+
 @_query
 def measure_panel(spark, sf_dir):
     return measures.panel(spark, standins.tables(spark, sf_dir), MEASURE, REPORTED, STATE)
@@ -190,25 +202,25 @@ def panel_with_fallback(spark, sf_dir):
 
 @_query
 def measure_series(spark, sf_dir):
-    return measures.series(measures.panel_cube(standins.tables(spark, sf_dir)))
+    return measures.series(measures.panel_cube(standins.tables(spark, sf_dir), exact_scale=CENTS))
 
 
 @_query
 def national_average(spark, sf_dir):
-    return measures.national_series(standins.tables(spark, sf_dir))
+    return measures.national_series(standins.tables(spark, sf_dir), CENTS)
 
 
 @_query
 def series_vs_national(spark, sf_dir):
     t = standins.tables(spark, sf_dir)
     return measures.with_national(
-        measures.series(measures.panel_cube(t)), measures.national_series(t)
+        measures.series(measures.panel_cube(t, exact_scale=CENTS)), measures.national_series(t, CENTS)
     )
 
 
 @_query
 def measure_pair(spark, sf_dir):
-    return measures.pair(standins.tables(spark, sf_dir), MEASURE, OTHER_MEASURE)
+    return measures.pair(standins.tables(spark, sf_dir), MEASURE, OTHER_MEASURE, CENTS)
 
 
 # --- distributions -----------------------------------------------------------------
@@ -216,7 +228,7 @@ def measure_pair(spark, sf_dir):
 
 @_query
 def hospital_ranking(spark, sf_dir):
-    return distributions.ranking(measures.panel_cube(standins.tables(spark, sf_dir)))
+    return distributions.ranking(measures.panel_cube(standins.tables(spark, sf_dir), exact_scale=CENTS))
 
 
 @_query
@@ -226,12 +238,13 @@ def value_histogram(spark, sf_dir):
 
 @_query
 def box_stats(spark, sf_dir):
-    return distributions.box(measures.panels(standins.tables(spark, sf_dir)))
+    stats = distributions.box(measures.panels(standins.tables(spark, sf_dir)))
+    return stats.withColumns({q: F.round(q, 6) for q in ("q1", "median", "q3")})
 
 
 @_query
 def hospital_date_heatmap(spark, sf_dir):
-    return distributions.heatmap(measures.panel_cube(standins.tables(spark, sf_dir)))
+    return distributions.heatmap(measures.panel_cube(standins.tables(spark, sf_dir), exact_scale=CENTS))
 
 
 # --- facilities ----------------------------------------------------------------------
@@ -312,22 +325,26 @@ def budget_table(spark, sf_dir):
 # --- time series -------------------------------------------------------------------------
 
 
-def _six_places(df, *columns):
-    """Round for comparison. The offset moves values that lie exactly between two
-    results off the tie, where the last bit of a sum would decide."""
-    return df.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in columns})
+def _comparable(df, *columns):
+    """Nine significant digits: enough to compare, few enough not to show the order of a sum."""
+    return df.withColumns({c: F.format_string("%.8e", c).cast("double") for c in columns})
+
+
+def _rounded(df, noise, *columns):
+    """Four places. The noise of a sum is rounded off first, so that it decides no tie."""
+    return df.withColumns({c: F.floor(F.round(c, noise) * 10000 + 0.5) / 10000 for c in columns})
 
 
 @_query
 def seasonal_decompose(spark, sf_dir):
     parts = timeseries.decompose(measure_series(spark, sf_dir), measures.PANEL)
-    return _six_places(parts, "trend", "seasonal", "resid")
+    return _rounded(parts, 9, "trend", "seasonal", "resid")
 
 
 @_query
 def holt_forecast(spark, sf_dir):
     forecast = timeseries.holt(measure_series(spark, sf_dir), measures.PANEL)
-    return _six_places(forecast, "forecast")
+    return _rounded(forecast, 8, "forecast")
 
 
 # --- models --------------------------------------------------------------------------------

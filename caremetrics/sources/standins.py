@@ -87,7 +87,7 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
         given(spark, sf_dir, "orders")
         .select(F.col("o_orderpriority").alias("measurecode"))
         .distinct()
-        .withColumn("measurename", F.substring("measurecode", 3, 100))
+        .withColumn("measurename", F.expr("substring(measurecode, 3)"))
     )
 
 
@@ -145,7 +145,7 @@ def catalogue_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", "Open")
         .alias("ReportedMeasureName"),
         F.col("o_orderpriority").alias("MeasureCode"),
-        F.substring("o_orderpriority", 3, 100).alias("MeasureName"),
+        F.expr("substring(o_orderpriority, 3)").alias("MeasureName"),
         F.col("o_orderkey").alias("DataSetId"),
         F.concat("o_orderpriority", F.lit(" / "), "o_orderstatus").alias("DataSetName"),
     )

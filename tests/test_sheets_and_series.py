@@ -24,15 +24,16 @@ def _cells(spark, workbook, sheet, grid):
     )
 
 
-def test_prices_take_ten_rows_and_lenient_numbers(spark):
+def test_prices_end_with_the_last_year_and_are_lenient_numbers(spark):
     grid = {0: ["Title"], 3: ["x", 1, 2, None, 3, 4]}
     grid |= {4 + i: [f"{2011 + i}–{12 + i}", 100 + i, "n.p.", "r", i, None] for i in range(14)}
+    grid |= {18: ["Note: n.p. is not published", 1, 2], 19: ["Source", 3]}
     wide = sheets.spend_prices(_cells(spark, "Expenditure", "Table 1", grid))
     got = rows(wide)
-    assert len(got) == 10
+    assert len(got) == 14
     assert got[0] == ("2011–12", 100.0, None, 0.0, None)
     long = sheets.spend_prices_long(wide)
-    assert long.count() == 40 and long.where("type = 'real_growth' AND value IS NULL").count() == 10
+    assert long.count() == 56 and long.where("type = 'real_growth' AND value IS NULL").count() == 14
 
 
 def test_length_of_stay_melts_both_blocks(spark):
@@ -47,10 +48,19 @@ def test_length_of_stay_melts_both_blocks(spark):
     assert ("Public", "Acute", "2011–12", 0.0) in got and ("Private", "Other", "2012–13", 5.5) in got
 
 
+def test_length_of_stay_keeps_empty_cells(spark):
+    grid = {2: [None, "2011–12", "2012–13"], 5: ["Subacute", "1.5"]}
+    grid |= {r: [f"type {r}"] for r in (4, 6, 7, 8, 9)}
+    cells = _cells(spark, "Admitted Patients", "Table 2.9", grid)
+    got = rows(sheets.length_of_stay(cells.where("cell IS NOT NULL")))
+    assert len(got) == 12
+    assert [r for r in got if r[3] is not None] == [("Public", "Subacute", "2011–12", 1.5)]
+
+
 def test_gdp_years_are_integers_and_bad_years_raise(spark):
     good = {3: ["2011–12", None, None, None, "1,0", None, 9.5]}
     assert rows(sheets.gdp_ratio(_cells(spark, "Expenditure", "Table 7", good))) == [(2011, None, 9.5)]
-    bad = {3: ["total", None, None, None, 1, None, 2]}
+    bad = {3: ["total", None, None, None, 1, None, 2], 4: ["2012–13", None, None, None, 1, None, 2]}
     with pytest.raises(Exception):
         sheets.gdp_ratio(_cells(spark, "Expenditure", "Table 7", bad)).collect()
 
@@ -65,7 +75,7 @@ def test_budget_years_are_counted_from_2011(spark):
     line = [None] * 24
     for no in (1, 4, 7, 10, 13, 16, 19, 22):
         line[no] = no
-    grid = {5: line, 6: line, 15: line}
+    grid = {5: ["2011–12", *line[1:]], 6: ["2012–13", *line[1:]], 7: line}
     cells = _cells(spark, "Expenditure", "Table 5", grid)
     wide = sheets.budget_wide(cells)
     assert wide.columns == ["year", "NAT", "NSW", "NT", "Qld", "SA", "Tas", "Vic", "WA"]
