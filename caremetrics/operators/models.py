@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,6 +145,85 @@ def standardize(
     return df.withColumns(scaled)
 
 
+def _moments(features: Sequence[str]) -> list[Column]:
+    """Means, variances and covariances of the features and of ``y``, by name."""
+    names = [*features, "y"]
+    sums = [F.avg(c).alias(f"mean {c}") for c in names]
+    for i, one in enumerate(names):
+        sums += [F.covar_pop(one, other).alias(f"{one} with {other}") for other in names[i:]]
+    return sums
+
+
+def _solve(moments: dict, features: Sequence[str], reg_param: float, elastic_net: float) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept from one target's moments.
+
+    Least squares takes the shortest solution if features depend on each other.
+    With a penalty, features and target are scaled to unit deviation first, as the
+    penalty is meant for those, and coordinates are improved in turn until they rest.
+    """
+    k = len(features)
+    names = [*features, "y"]
+    full = np.empty((k + 1, k + 1))
+    for i in range(k + 1):
+        for j in range(i, k + 1):
+            full[i, j] = full[j, i] = moments[f"{names[i]} with {names[j]}"]
+    inner, with_y, spread = full[:k, :k], full[:k, k], np.sqrt(np.diag(full)[:k])
+    deviation = np.sqrt(full[k, k])
+    weights = np.zeros(k)
+    alive = np.flatnonzero(spread > 0)
+    if reg_param == 0 or deviation == 0:
+        scale = spread[alive]
+        scaled = inner[np.ix_(alive, alive)] / np.outer(scale, scale)
+        weights[alive] = np.linalg.lstsq(scaled, with_y[alive] / scale, rcond=1e-12)[0] / scale
+    else:
+        scale = spread[alive]
+        scaled, aim = inner[np.ix_(alive, alive)] / np.outer(scale, scale), with_y[alive] / scale / deviation
+        lasso, ridge = reg_param * elastic_net / deviation, reg_param * (1 - elastic_net) / deviation
+        w = np.zeros(len(alive))
+        for _ in range(10_000):
+            before = w.copy()
+            for j in range(len(alive)):
+                rest = aim[j] - scaled[j] @ w + w[j]
+                w[j] = np.sign(rest) * max(abs(rest) - lasso, 0) / (1 + ridge)
+            if np.abs(w - before).max(initial=0) <= 1e-14:
+                break
+        weights[alive] = w * deviation / scale
+    means = np.array([moments[f"mean {f}"] for f in features])
+    return weights, float(moments["mean y"] - means @ weights)
+
+
+def fit_long(
+    design: DataFrame, features: Sequence[str], reg_param: float = 0.0, elastic_net: float = 0.0
+) -> DataFrame:
+    """Fit one linear model per value of ``target`` in a long table (target, y, features).
+
+    One pass for all targets: tasks add up moments, which combine before the
+    shuffle, and each target is solved from its one row of them, where it lies.
+    Returns (target, feature, coefficient); the intercept is feature ``(intercept)``.
+    Rows with a null are left out.
+    """
+    features = list(features)
+    typed = design.select("target", *[F.col(c).cast("double").alias(c) for c in [*features, "y"]]).na.drop("any")
+    moments = typed.groupBy("target").agg(*_moments(features))
+
+    def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_dict("records"):
+                weights, intercept = _solve(row, features, reg_param, elastic_net)
+                rows += [(row["target"], f, float(w)) for f, w in zip(features, weights)]
+                rows.append((row["target"], "(intercept)", intercept))
+            yield pd.DataFrame(rows, columns=["target", "feature", "coefficient"])
+
+    return moments.mapInPandas(solved, _COEFFICIENTS)
+
+
+def long_targets(df: DataFrame, targets: Sequence[str], features: Sequence[str], *keys: str) -> DataFrame:
+    """Target columns as rows: (keys, features, target, y)."""
+    typed = df.select(*keys, *features, *[F.col(t).cast("double").alias(t) for t in targets])
+    return typed.unpivot([*keys, *features], list(targets), "target", "y")
+
+
 def fit_targets(
     design: DataFrame,
     targets: Sequence[str],
@@ -150,31 +231,33 @@ def fit_targets(
     reg_param: float = 0.0,
     elastic_net: float = 0.0,
 ) -> DataFrame:
-    """Fit one linear model per target column: (target, feature, coefficient).
+    """As ``fit_long``, for a table with one column per target. Rows with a null
+    target serve the others."""
+    return fit_long(long_targets(design, targets, features), features, reg_param, elastic_net)
 
-    Targets are columns, so there are few, and each fit is one pass: the tasks
-    add up the moments of the rows, and the solution is found from those.
-    Nothing is cached; a design that is costly to derive should be checkpointed
-    by the caller. Rows with a null are left out per target. The intercept is
-    listed as feature ``(intercept)``.
+
+def heldout_error(fitted: DataFrame, heldout: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Root mean square error, mean absolute error and R² per target on a long table.
+
+    ``fitted`` comes from ``fit_long``: a row per target and feature, which are few
+    and joined as one row per target.
     """
-    design = design.na.drop(subset=list(features))
-    rows = []
-    for target in targets:
-        estimator = LinearRegression(
-            featuresCol="features",
-            labelCol=target,
-            solver="normal",
-            regParam=reg_param,
-            elasticNetParam=elastic_net,
-            maxIter=1000,
-            tol=1e-12,
-        )
-        complete = design.where(F.col(target).isNotNull())
-        model = estimator.fit(_assembled(complete, features, target))
-        rows += [(target, f, float(c)) for f, c in zip(features, model.coefficients)]
-        rows.append((target, "(intercept)", float(model.intercept)))
-    return literal_rows(design.sparkSession, rows, _COEFFICIENTS)
+    of = lambda name: F.max(F.when(F.col("feature") == name, F.col("coefficient")))
+    lines = fitted.groupBy("target").agg(
+        F.array(*[of(f) for f in features]).alias("_weights"), of("(intercept)").alias("_start")
+    )
+    complete = heldout.select("target", "y", *features).na.drop("any")
+    predicted = F.col("_start")
+    for i, feature in enumerate(features):
+        predicted = predicted + F.col("_weights")[i] * F.col(feature)
+    scored = complete.join(F.broadcast(lines), "target").withColumn("_miss", F.col("y") - predicted)
+    squared = F.avg(F.col("_miss") * F.col("_miss"))
+    return scored.groupBy("target").agg(
+        F.count("*").alias("n"),
+        F.sqrt(squared).alias("rmse"),
+        F.avg(F.abs("_miss")).alias("mae"),
+        F.when(F.var_pop("y") > 0, 1 - squared / F.var_pop("y")).alias("r2"),
+    )
 
 
 _COEFFICIENTS = T.StructType(

@@ -19,6 +19,10 @@ def _mean(x: str) -> str:
     return f"CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / nullif(count({x}), 0)"
 
 
+def _digits(x: str) -> str:
+    return f"CAST(printf('%.6e', {x}) AS DOUBLE)"
+
+
 def _list(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -275,6 +279,29 @@ _NET_SOLVED = """net_solved AS (
   FROM net_steps WHERE step = 100
 )"""
 
+_NAMED = f"""named AS (SELECT year, {", ".join(f'"{c}" AS "x_{c}"' for c in sorted([*_BUDGET_LABELS, "NAT"]))}
+  FROM budget WHERE COLUMNS(*) IS NOT NULL)"""
+# Two features per target of the design table.
+_DESIGN_SOLVED = f"""design_solved AS (
+  SELECT target, my, m1, m2, (c1 * a22 - c2 * a12) / (a11 * a22 - a12 * a12) AS b1,
+    (c2 * a11 - c1 * a12) / (a11 * a22 - a12 * a12) AS b2
+  FROM (SELECT target, avg(y) AS my, avg("x_NAT") AS m1, avg("x_NSW") AS m2, var_pop("x_NAT") AS a11,
+          covar_pop("x_NAT", "x_NSW") AS a12, var_pop("x_NSW") AS a22,
+          covar_pop("x_NAT", y) AS c1, covar_pop("x_NSW", y) AS c2
+        FROM ({" UNION ALL ".join(
+            f"""SELECT '{u}_values' AS target, t."{u}_values" AS y, b."x_NAT", b."x_NSW"
+                FROM named b JOIN targets t ON b.year = t.year WHERE t."{u}_values" IS NOT NULL"""
+            for u in UNITS)})
+        GROUP BY target)
+)"""
+_TEST_LINES = (
+    _TRAIN_LINES.replace("lines AS", "test_lines AS").replace("WHERE ", "WHERE NOT ")
+    + """, tested AS (
+  SELECT 'l_extendedprice' AS target, x1, x2, x3, y1 AS y FROM test_lines
+  UNION ALL SELECT 'net_price', x1, x2, x3, y2 FROM test_lines
+)"""
+)
+
 _ITEM_COLUMNS = "datasetid, reportingunitcode, value, caveats, id"
 
 
@@ -535,27 +562,46 @@ def oracle() -> dict[str, str]:
             ),
             _BUDGET,
             _TARGETS,
-            f"""named AS (SELECT year, {", ".join(f'"{c}" AS "x_{c}"' for c in sorted([*_BUDGET_LABELS, "NAT"]))}
-                FROM budget WHERE COLUMNS(*) IS NOT NULL)""",
+            _NAMED,
+        ),
+        "lm_targets": _sql(
+            f"""SELECT target, 'x_NAT' AS feature, {_digits('b1')} AS coefficient FROM design_solved
+               UNION ALL SELECT target, 'x_NSW', {_digits('b2')} FROM design_solved
+               UNION ALL SELECT target, '(intercept)', {_digits('my - b1 * m1 - b2 * m2')} FROM design_solved""",
+            _BUDGET,
+            _TARGETS,
+            _NAMED,
+            _DESIGN_SOLVED,
+        ),
+        "heldout_error": _sql(
+            f"""SELECT target, count(*) AS n, {_digits('sqrt(avg(miss * miss))')} AS rmse,
+                 {_digits('avg(abs(miss))')} AS mae, {_digits('1 - avg(miss * miss) / var_pop(y)')} AS r2
+               FROM (SELECT t.*, t.y - (s.my - s.b1 * s.m1 - s.b2 * s.m2 - s.b3 * s.m3)
+                       - s.b1 * t.x1 - s.b2 * t.x2 - s.b3 * t.x3 AS miss
+                     FROM tested t JOIN solved s USING (target)) GROUP BY target""",
+            _TRAIN_LINES,
+            _MOMENTS,
+            _SOLVED,
+            _TEST_LINES,
         ),
         "train_test_split": _sql(
             f"SELECT datasetid, {_IS_TRAIN.format(key='CAST(datasetid AS VARCHAR)')} AS is_train FROM datasets"
         ),
         "standardize": _sql(f"SELECT l_orderkey, l_linenumber, {scaled} FROM lineitem"),
         "lm_multi": _sql(
-            """SELECT target, 'l_quantity' AS feature, round(b1, 4) AS coefficient FROM solved
-               UNION ALL SELECT target, 'l_discount', round(b2, 4) FROM solved
-               UNION ALL SELECT target, 'l_tax', round(b3, 4) FROM solved
-               UNION ALL SELECT target, '(intercept)', round(my - b1 * m1 - b2 * m2 - b3 * m3, 4) FROM solved""",
+            f"""SELECT target, 'l_quantity' AS feature, {_digits('b1')} AS coefficient FROM solved
+               UNION ALL SELECT target, 'l_discount', {_digits('b2')} FROM solved
+               UNION ALL SELECT target, 'l_tax', {_digits('b3')} FROM solved
+               UNION ALL SELECT target, '(intercept)', {_digits('my - b1 * m1 - b2 * m2 - b3 * m3')} FROM solved""",
             _TRAIN_LINES,
             _MOMENTS,
             _SOLVED,
         ),
         "lm_elastic_net": _sql(
-            """SELECT target, 'l_quantity_scaled' AS feature, round(b1, 2) AS coefficient FROM net_solved
-               UNION ALL SELECT target, 'l_discount_scaled', round(b2, 2) FROM net_solved
-               UNION ALL SELECT target, 'l_tax_scaled', round(b3, 2) FROM net_solved
-               UNION ALL SELECT target, '(intercept)', round(my - b1 * m1 - b2 * m2 - b3 * m3, 2)
+            f"""SELECT target, 'l_quantity_scaled' AS feature, {_digits('b1')} AS coefficient FROM net_solved
+               UNION ALL SELECT target, 'l_discount_scaled', {_digits('b2')} FROM net_solved
+               UNION ALL SELECT target, 'l_tax_scaled', {_digits('b3')} FROM net_solved
+               UNION ALL SELECT target, '(intercept)', {_digits('my - b1 * m1 - b2 * m2 - b3 * m3')}
                FROM net_solved""",
             _TRAIN_LINES,
             _NET_LINES,

@@ -326,8 +326,8 @@ def budget_table(spark, sf_dir):
 
 
 def _comparable(df, *columns):
-    """Nine significant digits: enough to compare, few enough not to show the order of a sum."""
-    return df.withColumns({c: F.format_string("%.8e", c).cast("double") for c in columns})
+    """Seven significant digits, whatever the size of the value."""
+    return df.withColumns({c: F.format_string("%.6e", c).cast("double") for c in columns})
 
 
 def _rounded(df, noise, *columns):
@@ -405,18 +405,22 @@ def standardize(spark, sf_dir):
     return scaled.select(*LINE_KEY, *[F.round(f"{c}_scaled", 6).alias(f"{c}_scaled") for c in FEATURES])
 
 
-def _training_lines(spark, sf_dir):
+def _split_lines(spark, sf_dir):
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     lines = _lineitem(spark, sf_dir).select(
         *LINE_KEY, *FEATURES, "l_extendedprice", net.alias("net_price")
     )
-    return models.split(lines, LINE_KEY).where("is_train")
+    return models.split(lines, LINE_KEY)
+
+
+def _training_lines(spark, sf_dir):
+    return _split_lines(spark, sf_dir).where("is_train")
 
 
 @_query
 def lm_multi(spark, sf_dir):
     fitted = models.fit_targets(_training_lines(spark, sf_dir), TARGETS, FEATURES)
-    return fitted.withColumn("coefficient", F.round("coefficient", 4))
+    return _comparable(fitted, "coefficient")
 
 
 @_query
@@ -424,4 +428,20 @@ def lm_elastic_net(spark, sf_dir):
     scaled = models.standardize(_training_lines(spark, sf_dir), FEATURES)
     names = [f"{c}_scaled" for c in FEATURES]
     fitted = models.fit_targets(scaled, TARGETS, names, 0.1, models.ELASTIC_NET)
-    return fitted.withColumn("coefficient", F.round("coefficient", 2))
+    return _comparable(fitted, "coefficient")
+
+
+# Two of the eight features of the design: with a dozen rows, all eight would fit the noise.
+DESIGN_FEATURES = ["x_NAT", "x_NSW"]
+
+
+@_query
+def lm_targets(spark, sf_dir):
+    return _comparable(models.fit_long(lm_design(spark, sf_dir), DESIGN_FEATURES), "coefficient")
+
+
+@_query
+def heldout_error(spark, sf_dir):
+    fitted = models.fit_targets(_training_lines(spark, sf_dir), TARGETS, FEATURES)
+    heldout = models.long_targets(_split_lines(spark, sf_dir).where("NOT is_train"), TARGETS, FEATURES)
+    return _comparable(models.heldout_error(fitted, heldout, FEATURES), "rmse", "mae", "r2")

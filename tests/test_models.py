@@ -47,6 +47,21 @@ def test_rows_lacking_one_target_serve_the_others(spark):
     ]
 
 
+def test_long_fit_and_heldout_error(spark, sample):
+    df, x, y = sample
+    long = models.long_targets(df, ["y"], ["a", "b"], "id")
+    fitted = models.fit_long(long.where("id < 300"), ["a", "b"])
+    design = np.c_[x[:, :2], np.ones(len(x))]
+    wanted, *_ = np.linalg.lstsq(design[:300], y[:300], rcond=None)
+    got = {r["feature"]: r["coefficient"] for r in fitted.collect()}
+    assert [got[k] for k in ("a", "b", "(intercept)")] == pytest.approx(list(wanted), abs=1e-8)
+    error = models.heldout_error(fitted, long.where("id >= 300"), ["a", "b"]).first()
+    miss = y[300:] - design[300:] @ wanted
+    assert error["n"] == 100 and error["rmse"] == pytest.approx(np.sqrt((miss**2).mean()))
+    assert error["mae"] == pytest.approx(np.abs(miss).mean())
+    assert error["r2"] == pytest.approx(1 - (miss**2).mean() / y[300:].var())
+
+
 def test_scaling(spark, sample):
     df, x, _ = sample
     got = np.array(models.standardize(df, ["a", "b"]).orderBy("id").select("a_scaled", "b_scaled").collect())

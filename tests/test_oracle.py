@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from caremetrics.plans.oracle import oracle
+from caremetrics.plans.queries import registry
 from tests.conftest import SF
 from tools.check import compare, open_tables
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = registry()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,8 @@ def con():
 
 def test_every_twin_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry_is_lazy_and_has_rows(spark):

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry_points
+from caremetrics.plans.queries import registry
 from tests.conftest import SF
 
 # These run jobs while the plan is built (files are written or models fitted).
@@ -17,8 +17,10 @@ EAGER = {
     "lm_design",
     "lm_multi",
     "lm_elastic_net",
+    "lm_targets",
+    "heldout_error",
 }
-QUERIES = {k: q for k, q in entry_points.queries().items() if k not in EAGER}
+QUERIES = {k: q for k, q in registry().items() if k not in EAGER}
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
