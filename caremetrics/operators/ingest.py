@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caremetrics.functions.ordering import with_ordinal
+from caremetrics.operators.upsert import append_new, store_flags
+from caremetrics.session import checkpointed
 
 
 def split_datasets(catalogue: DataFrame) -> DataFrame:
@@ -52,3 +56,25 @@ def batches(ids: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     return numbered.select(
         "datasetid", F.floor((F.col("ordinal") - 1) / size).cast("long").alias("batch_id")
     )
+
+
+def ingest_day(
+    spark: SparkSession, directory: DataFrame, catalogue: DataFrame, items_of: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """One daily run over the registered tables; returns the ids it stored.
+
+    Appends unseen hospitals, codes and datasets, asks ``items_of`` for the items of
+    the datasets still pending (ids in, items out), appends those, and flags every
+    dataset of which an item was written. A second run finds nothing pending but
+    what had no items, and appends nothing twice.
+    """
+    append_new("hospitals", directory)
+    append_new("measurements", split_dim(catalogue, "measurecode", "measurename"))
+    append_new("reported_measurements", split_dim(catalogue, "reportedmeasurecode", "reportedmeasurename"))
+    append_new("datasets", split_datasets(catalogue))
+    wanted = checkpointed(pending(spark.table("datasets")))
+    append_new("info", with_item_id(items_of(wanted)))
+    stored = spark.table("info").join(wanted, "datasetid", "left_semi").select("datasetid").distinct()
+    stored = checkpointed(stored)
+    store_flags(stored)
+    return stored

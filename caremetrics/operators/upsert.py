@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremetrics.schemas import TABLES
+from caremetrics.session import checkpointed
 
 
 def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -45,13 +46,21 @@ def append_new(table: str, incoming: DataFrame) -> None:
     spec = TABLES[table]
     spark = incoming.sparkSession
     columns = spec.schema.fieldNames()
-    within = spec.bucket_by if spec.bucket_by != spec.key else None
+    within = spec.bucket_by if spec.bucket_by not in (None, spec.key) else None
     fresh = new_rows(incoming, spark.table(table), spec.key, within).select(*columns)
-    # Gathers each bucket in few tasks; an oversized bucket is split at runtime.
-    gathered = fresh.hint("rebalance", spec.bucket_by)
-    gathered.write.mode("append").format("parquet").bucketBy(
-        _buckets(spark, table), spec.bucket_by
-    ).saveAsTable(table)
+    _write(fresh, table, "append")
+
+
+def _write(rows: DataFrame, table: str, mode: str) -> None:
+    """Write to a registered table: one file per bucket that has rows, or few files."""
+    column = TABLES[table].bucket_by
+    if column is None:
+        rows.coalesce(1).write.mode(mode).format("parquet").saveAsTable(table)
+        return
+    # The shuffle deals rows out as the buckets do, so each task writes one bucket.
+    buckets = _buckets(rows.sparkSession, table)
+    gathered = rows.repartition(buckets, column)
+    gathered.write.mode(mode).format("parquet").bucketBy(buckets, column).saveAsTable(table)
 
 
 def _buckets(spark, table: str) -> int:
@@ -59,6 +68,16 @@ def _buckets(spark, table: str) -> int:
     return int(rows.first()["data_type"])
 
 
+def store_flags(ids: DataFrame) -> None:
+    """Write a new version of the ``datasets`` table in which ``ids`` count as stored.
+
+    The version is computed in full and kept before the old one is replaced.
+    """
+    spark = ids.sparkSession
+    marked = checkpointed(mark_stored(spark.table("datasets"), ids))
+    _write(marked, "datasets", "overwrite")
+
+
 def mark_stored(datasets: DataFrame, ids: DataFrame) -> DataFrame:
     """A new version of ``datasets`` in which the given ids count as stored."""
     hits = ids.select("datasetid").distinct().withColumn("_hit", F.lit(True))

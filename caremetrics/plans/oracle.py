@@ -342,6 +342,12 @@ def oracle() -> dict[str, str]:
             """SELECT datasetid, (row_number() OVER (ORDER BY datasetid) - 1) // 20 AS batch_id
                FROM datasets WHERE NOT stored"""
         ),
+        "append_twice": _sql(f"SELECT {_ITEM_COLUMNS} FROM info"),
+        "daily_ingest": _sql(
+            """SELECT TRY_CAST(reportingstartdate AS DATE) AS reportingstartdate, reportedmeasurecode,
+                 datasetid, measurecode, datasetname, datasetid IN (SELECT datasetid FROM info) AS stored
+               FROM catalogue"""
+        ),
         "stream_items_upsert": _sql(f"SELECT {_ITEM_COLUMNS} FROM info"),
         "stream_mark_stored": _sql(
             """SELECT datasetid, stored OR datasetid IN (SELECT datasetid FROM info) AS stored

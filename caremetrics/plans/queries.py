@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from caremetrics.operators import (
     timeseries,
     upsert,
 )
+from caremetrics.schemas import create_tables
 from caremetrics.session import work_dir
 from caremetrics.sources import feeds, standins
 from caremetrics.sources.literals import literal_rows
@@ -138,6 +140,48 @@ def _streamed(spark, sf_dir):
     return f"{base}/table"
 
 
+def _own_tables(spark, sf_dir):
+    """A database of its own for one run of a query, in the shared working folder."""
+    name = f"care_{uuid.uuid4().hex}"
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{work_dir(spark, 'tables')}'")
+    spark.catalog.setCurrentDatabase(name)
+    create_tables(spark, buckets=8)
+    return name, before
+
+
+@_query
+def append_twice(spark, sf_dir):
+    """The items, appended in two overlapping deliveries and read back."""
+    name, before = _own_tables(spark, sf_dir)
+    try:
+        items = standins.info(spark, sf_dir)
+        upsert.append_new("info", items.where("datasetid % 3 > 0"))
+        upsert.append_new("info", items)
+        return spark.table(f"{name}.info")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def _daily(spark, sf_dir):
+    name, before = _own_tables(spark, sf_dir)
+    try:
+        items = standins.info(spark, sf_dir).drop("id")
+        items_of = lambda ids: items.join(ids, "datasetid", "left_semi")
+        directory = feeds.read_hospitals(standins.directory_cells(spark, sf_dir))
+        for _ in range(2):
+            ingest.ingest_day(spark, directory, _catalogue(spark, sf_dir), items_of)
+        return name
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+@_query
+def daily_ingest(spark, sf_dir):
+    """The datasets with their flags after two daily runs over the same feeds."""
+    return spark.table(f"{_daily(spark, sf_dir)}.datasets")
+
+
 @_query
 def stream_items_upsert(spark, sf_dir):
     return stream.read_items_table(spark, _streamed(spark, sf_dir)).drop("epoch")

@@ -17,19 +17,17 @@ _STR, _INT, _LONG, _DBL = T.StringType(), T.IntegerType(), T.LongType(), T.Doubl
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One reporting table: its columns, its key, and the column it is bucketed by."""
+    """One reporting table: its columns, its key, and the column it is bucketed by, if any."""
 
     name: str
     schema: T.StructType
     key: str
-    bucket_by: str
+    bucket_by: str | None = None
 
     def ddl(self, buckets: int) -> str:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema)
-        return (
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet "
-            f"CLUSTERED BY ({self.bucket_by}) INTO {buckets} BUCKETS"
-        )
+        clustered = f" CLUSTERED BY ({self.bucket_by}) INTO {buckets} BUCKETS" if self.bucket_by else ""
+        return f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet{clustered}"
 
 
 # Table names, column names, types and keys of the data model.
@@ -66,19 +64,16 @@ TABLES: dict[str, TableSpec] = {
                 phn=_STR,
             ),
             key="code",
-            bucket_by="code",
         ),
         TableSpec(
             "measurements",
             _fields(measurecode=_STR, measurename=_STR),
             key="measurecode",
-            bucket_by="measurecode",
         ),
         TableSpec(
             "reported_measurements",
             _fields(reportedmeasurecode=_STR, reportedmeasurename=_STR),
             key="reportedmeasurecode",
-            bucket_by="reportedmeasurecode",
         ),
         TableSpec(
             "info",
@@ -114,7 +109,8 @@ def create_tables(spark: SparkSession, buckets: int = 16) -> None:
     """Create the five tables where they do not exist yet.
 
     ``buckets`` should be sized so that one bucket of ``info`` fits a task
-    (a few thousand at the 100 TB scale); dimensions share the setting.
+    (a few thousand at the 100 TB scale). The directory and the two code lists
+    are small and not bucketed.
     """
     for spec in TABLES.values():
         spark.sql(spec.ddl(buckets))

@@ -30,13 +30,24 @@ def build_session(app: str = "caremetrics", cpus: int | str = "*") -> SparkSessi
     )
 
 
+_own_roots: dict[str, str] = {}
+
+
 def _shared_root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, or one kept in the session.
+
+    Only a session that runs in one process may do without the setting: its tasks
+    see the driver's temporary folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="caremetrics-")
+    if master not in _own_roots:
+        _own_roots[master] = tempfile.mkdtemp(prefix="caremetrics-")
+    return _own_roots[master]
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

@@ -16,9 +16,13 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.lower() for name in df.columns])
 
 
-def csv_options() -> dict[str, str]:
-    """How the feeds are read: header checked, no inference, bad records fail the job."""
-    return {"header": "true", "enforceSchema": "false", "multiLine": "true", "mode": "FAILFAST", "escape": '"'}
+def csv_options(multi_line: bool = True) -> dict[str, str]:
+    """How the feeds are read: header checked, no inference, bad records fail the job.
+
+    Without ``multi_line`` quoted line breaks are not allowed and files can be split.
+    """
+    many = str(multi_line).lower()
+    return {"header": "true", "enforceSchema": "false", "multiLine": many, "mode": "FAILFAST", "escape": '"'}
 
 
 def publish(df: DataFrame, landing: str, records_per_file: int = RECORDS_PER_FILE) -> None:
@@ -36,25 +40,25 @@ def publish(df: DataFrame, landing: str, records_per_file: int = RECORDS_PER_FIL
     )
 
 
-def _read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return lower_names(spark.read.schema(schema).options(**csv_options()).csv(path))
+def _read_feed(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    return lower_names(spark.read.schema(schema).options(**csv_options(multi_line)).csv(path))
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+def read_catalogue(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The listing of datasets; dates stay text until ``split_datasets``."""
-    return _read_feed(spark, path, CATALOGUE_FILE)
+    return _read_feed(spark, path, CATALOGUE_FILE, multi_line)
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
+def read_items(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Data items of any number of datasets, each file with its own header."""
-    return _read_feed(spark, path, ITEMS_FILE)
+    return _read_feed(spark, path, ITEMS_FILE, multi_line)
 
 
-def stream_items(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
+def stream_items(spark: SparkSession, path: str, files_per_trigger: int, multi_line: bool = True) -> DataFrame:
     """The landing directory as a stream of data items."""
     return lower_names(
         spark.readStream.schema(ITEMS_FILE)
-        .options(**csv_options())
+        .options(**csv_options(multi_line))
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(path)
     )

@@ -88,6 +88,18 @@ def test_tables_are_created_once_and_appended_to(spark):
     assert rows(spark.table("info")) == rows(items)
 
 
+def test_an_append_writes_one_file_per_bucket(spark):
+    spark.sql("DROP TABLE IF EXISTS info")
+    create_tables(spark, buckets=4)
+    items = ingest.with_item_id(spark.createDataFrame([(i, "H", 1.0, None) for i in range(500)], ITEM))
+    upsert.append_new("info", items.where("datasetid < 250").repartition(7))
+    upsert.append_new("info", items.repartition(9))
+    assert len(spark.table("info").inputFiles()) == 8
+    assert spark.table("info").count() == 500
+    spark.sql("DROP TABLE info")
+    assert "CLUSTERED" not in TABLES["hospitals"].ddl(4) and "CLUSTERED" in TABLES["datasets"].ddl(4)
+
+
 def test_bucketed_tables_join_without_shuffling(spark, with_conf):
     with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
     create_tables(spark, buckets=4)

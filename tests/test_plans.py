@@ -11,6 +11,8 @@ EAGER = {
     "scan_items",
     "stream_items_upsert",
     "stream_mark_stored",
+    "append_twice",
+    "daily_ingest",
     "budget_regression",
     "predict_scenarios",
     "wide_targets",
