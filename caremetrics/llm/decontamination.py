@@ -226,6 +226,6 @@ def matches(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows without any benchmark window, unchanged."""
-    found = matches(docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns}), benchmark,
-                    [f"own_{c}" for c in docs.columns], f"own_{text_col}")
-    return found.where("NOT contaminated").select(*[F.col(f"own_{c}").alias(c) for c in docs.columns])
+    own = {c: f"own_{c}" for c in docs.columns}
+    found = matches(docs.toDF(*own.values()), benchmark, list(own.values()), own[text_col])
+    return found.where("NOT contaminated").select(*[F.col(o).alias(c) for c, o in own.items()])

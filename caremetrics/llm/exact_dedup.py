@@ -137,7 +137,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: one pass, nothing joined back."""
     own = {c: f"own_{c}" for c in docs.columns}
-    renamed = docs.withColumnsRenamed(own)
+    renamed = docs.toDF(*own.values())
     names, schema, text = renamed.columns, renamed.schema, own[text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

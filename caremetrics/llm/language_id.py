@@ -243,6 +243,6 @@ def keep_identified(
     without letters and texts whose n-grams are hardly those of any language."""
     learned = profiles(docs, lang_col, text_col)
     own = {c: f"own_{c}" for c in docs.columns}
-    found = predict(docs.withColumnsRenamed(own), learned, list(own.values()), own[text_col])
+    found = predict(docs.toDF(*own.values()), learned, list(own.values()), own[text_col])
     kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
     return kept.select(*[F.col(o).alias(c) for c, o in own.items()])
