@@ -41,8 +41,9 @@ MEASURES = [
 ]
 # Bins per measure: twentieths of a share, or powers of two of a size.
 BINS = 24
-# Counts added to every bin.
-SMOOTHING = 2.0
+# Rows added to a measure, split over bins and classes as the labelled rows are, so
+# that a bin never seen says nothing.
+SMOOTHING = 20.0
 # Probability from which a document is kept.
 KEEP = 0.5
 
@@ -113,8 +114,14 @@ def _evidence(labelled: DataFrame) -> tuple[list[list[float]], float, float]:
     for r in counted:
         good[r["measure"], r["bin"]], bad[r["measure"], r["bin"]] = r["good"], r["bad"]
     n_good, n_bad = good[0].sum(), bad[0].sum()
-    ratio = np.log((good + SMOOTHING) / (n_good + SMOOTHING * BINS)) - np.log((bad + SMOOTHING) / (n_bad + SMOOTHING * BINS))
-    return ratio.tolist(), float((n_good + 1) / (n_good + n_bad + 2)), float(n_good + n_bad)
+    prior = float((n_good + 1) / (n_good + n_bad + 2))
+    usual = (good + bad + 0.5) / (n_good + n_bad + 0.5 * BINS)
+
+    def likely(seen: np.ndarray, n: float, share: float) -> np.ndarray:
+        return np.log((seen + SMOOTHING * share * usual) / (n + SMOOTHING * share))
+
+    ratio = likely(good, n_good, prior) - likely(bad, n_bad, 1 - prior)
+    return ratio.tolist(), prior, float(n_good + n_bad)
 
 
 def _score(ratios: list[list[float]]) -> Column:

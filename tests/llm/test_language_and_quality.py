@@ -79,7 +79,7 @@ def test_quality_catches_junk_and_keeps_clean_rows(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = quality.posteriors(docs, labels, F.col("source"), F.col("lang")).join(labels, "doc_id")
     assert got.where("quality = 1 AND keep").count() >= 0.97 * got.where("quality = 1").count()
-    assert got.where("quality = 0 AND NOT keep").count() > 0
+    assert got.where("quality = 0 AND NOT keep").count() >= 0.7 * got.where("quality = 0").count()
 
 
 def test_quality_without_labels_or_rows(spark, odd, nothing):
