@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,11 @@ _STORED_IDS = T.StructType([T.StructField("datasetid", T.LongType())])
 
 
 def _ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    """An empty table, unless there is one."""
+    try:
+        spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)
 
 
 def read_items_table(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +55,9 @@ def ingest_epoch(batch: DataFrame, epoch: int, path: str) -> None:
     keyed = with_item_id(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fresh = new_rows(keyed, others, "id", within="datasetid")
-        fresh.select(*TABLES["info"].schema.fieldNames()).write.mode("overwrite").parquet(written)
+        # Files hold ranges of ids, so that later batches skip those out of theirs.
+        ordered = fresh.select(*TABLES["info"].schema.fieldNames()).repartitionByRange("datasetid")
+        ordered.sortWithinPartitions("datasetid").write.mode("overwrite").parquet(written)
     finally:
         keyed.unpersist()
     ids = spark.read.schema(TABLES["info"].schema).parquet(written).select("datasetid").distinct()

@@ -1,5 +1,7 @@
 """What the physical plans of all queries must and must not contain."""
 
+import re
+
 import pytest
 
 from caremetrics.plans.queries import registry
@@ -44,3 +46,13 @@ def test_no_python_no_cross_join(spark, key):
 def test_scans_read_only_what_is_used(spark, key, columns):
     plan = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert f"ReadSchema: {columns}" in plan
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_one_task_gathers_partial_sums_only(spark, key):
+    """What goes to a single task is one row per task, the partial result of an
+    aggregate, or the counts of value ranges, whose number is bounded."""
+    lines = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    for at, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert re.search(r"Aggregate\(keys=\[(\], functions=\[partial_|_range#\d+\])", lines[at + 1]), lines[at + 1]
