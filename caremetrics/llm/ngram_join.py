@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caremetrics.llm.components import connected
+from caremetrics.llm.id_filter import passing
 from caremetrics.llm.words import SPACED_LOWER, Words, mix, pieces, rolling, window_mask
 from caremetrics.session import checkpointed, work_dir
 
@@ -98,6 +99,16 @@ def _frequencies(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     return counts
 
 
+def _steps(ordered: np.ndarray) -> bytes:
+    """Ascending 16-bit numbers as differences, low bytes first, which packs well."""
+    return np.ascontiguousarray(np.diff(ordered, prepend=np.uint16(0)).view(np.uint8).reshape(-1, 2).T).tobytes()
+
+
+def _from_steps(body: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(2, -1).T).view(np.uint16).reshape(-1)
+    return np.cumsum(steps, dtype=np.uint16)
+
+
 _SIGNATURE = [
     T.StructField("n", T.LongType()),
     T.StructField("digest", T.StringType()),
@@ -110,7 +121,7 @@ _SIGNATURE = [
 def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: Threshold) -> DataFrame:
     """Per document: set size, digest, prefix under order 1, and under orders 2 and 3.
 
-    The latter are the leading 32 bits of the ordering hash; where two shingles
+    The latter are the leading 16 bits of the ordering hash; where two shingles
     agree in them they count as shared, which only weakens the filter.
     """
     counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, text_col, width))
@@ -121,7 +132,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, thresho
         p = threshold.prefix(n) if n else 0
         rarity = counts.value[(found & np.uint64(SLOTS - 1)).astype(np.int64)]
         first = found[np.lexsort((found, rarity))[:p]]
-        others = [np.sort((mix(found ^ o) >> np.uint64(32)).astype(np.uint32))[:p].tobytes() for o in _ORDERS]
+        others = [_steps(np.sort((mix(found ^ o) >> np.uint64(48)).astype(np.uint16))[:p]) for o in _ORDERS]
         return n, hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest(), first.view(np.int64), *others
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,10 +146,15 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, thresho
 
 
 def _postings(signatures: DataFrame, threshold: Threshold) -> DataFrame:
-    """token, id, n and the length band: sets whose sizes can match lie in one band or in neighbours."""
+    """token, id, n, place in the prefix, and the length band, for tokens that several sets hold.
+
+    Sets whose sizes can match lie in one band or in neighbouring ones.
+    """
     step = float(np.log(100 / threshold.percent)) * (1 + 1e-9)  # an exact quotient stays within one step
-    band = F.floor(F.log("n") / F.lit(step))
-    return signatures.select("id", "n", band.alias("band"), F.explode("prefix").alias("token"))
+    band = F.floor(F.log("n") / F.lit(step)).cast("int")
+    listed = signatures.select("id", F.col("n").cast("int").alias("n"), band.alias("band"), F.posexplode("prefix").alias("place", "token"))
+    shared = listed.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
+    return listed.join(shared, "token", "left_semi").select("token", "band", "id", "n", "place")
 
 
 def _lengths_fit(threshold: Threshold, a: str = "n", b: str = "other_n"):
@@ -146,7 +162,7 @@ def _lengths_fit(threshold: Threshold, a: str = "n", b: str = "other_n"):
 
 
 def _star_pairs(postings: DataFrame, threshold: Threshold) -> DataFrame:
-    """Members of a posting list with its pivots, per band: at most two pairs per posting."""
+    """Members of a posting list with two pivots of their band."""
     scrambled = F.xxhash64("id")
     per_list = postings.groupBy("token", "band").agg(
         F.count("*").alias("held"),
@@ -154,39 +170,46 @@ def _star_pairs(postings: DataFrame, threshold: Threshold) -> DataFrame:
         F.min(F.struct(scrambled.alias("h"), "id", "n")).alias("any"),
     )
     joined = postings.join(per_list.where("held > 1"), ["token", "band"])
-    pairs = joined.select(
-        "id", "n", F.explode(F.array(F.struct(F.col("low.id").alias("id"), F.col("low.n").alias("n")),
-                                     F.struct(F.col("any.id").alias("id"), F.col("any.n").alias("n")))).alias("pivot")
-    )
-    return _ordered(pairs.select("id", "n", F.col("pivot.id").alias("other"), F.col("pivot.n").alias("other_n")), threshold)
+    pivots = F.array(*[F.struct(F.col(f"{p}.id").alias("id"), F.col(f"{p}.n").alias("n")) for p in ("low", "any")])
+    pairs = joined.select("id", "n", F.explode(F.array_distinct(pivots)).alias("pivot"))
+    pairs = pairs.select("id", "n", F.col("pivot.id").alias("other"), F.col("pivot.n").alias("other_n"))
+    return pairs.where((F.col("id") != F.col("other")) & _lengths_fit(threshold)).select("id", "other").distinct()
 
 
 def _cross_pairs(postings: DataFrame, labels: DataFrame, threshold: Threshold) -> DataFrame:
-    """All pairs of a posting list that lie in different components."""
+    """All pairs of a posting list that lie in different components.
+
+    Up to the last shared token of the two prefixes, both sets are known in full:
+    what they do not share there must not exceed the difference that the similarity
+    allows (positional filter).
+    """
     placed = postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = placed.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
-    left = placed.join(mixed.select("token"), "token", "left_semi").select("token", "band", "id", "n", "label")
+    left = placed.join(mixed.select("token"), "token", "left_semi")
     right = left.select(
-        "token", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-        F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("label").alias("other_label"),
+        "token",
+        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+        *[F.col(c).alias(f"other_{c}") for c in ("id", "n", "place", "label")],
     )
-    pairs = left.join(right, ["token", "band"]).where((F.col("id") > F.col("other")) & (F.col("label") != F.col("other_label")))
-    return _ordered(pairs.select("id", "n", "other", "other_n"), threshold)
-
-
-def _ordered(pairs: DataFrame, threshold: Threshold) -> DataFrame:
-    fit = pairs.where((F.col("id") != F.col("other")) & _lengths_fit(threshold))
-    return fit.select("id", "other").distinct()
+    pairs = left.join(right, ["token", "band"]).where(
+        (F.col("id") > F.col("other_id")) & (F.col("label") != F.col("other_label")) & _lengths_fit(threshold)
+    )
+    both = F.col("n") + F.col("other_n")
+    needed = F.ceil(both * threshold.percent / (100 + threshold.percent))
+    seen = pairs.groupBy("id", F.col("other_id").alias("other"), (both - 2 * needed).alias("most")).agg(
+        F.max(F.col("place") + F.col("other_place") + 2).alias("known"), F.count("*").alias("shared")
+    )
+    return seen.where("known - 2 * shared <= most").select("id", "other")
 
 
 def _agree(pairs: DataFrame, signatures: DataFrame, threshold: Threshold) -> DataFrame:
     """Pairs whose prefixes under orders 2 and 3 allow the similarity."""
-    mine = signatures.select("id", "n", "second", "third")
+    mine = signatures.where("n > 0").select("id", "n", "second", "third")
     other = signatures.select(*[F.col(c).alias("other" if c == "id" else f"other_{c}") for c in mine.columns])
     joined = pairs.join(mine, "id").join(other, "other")
 
     def allowed(a: bytes, b: bytes, most: int) -> bool:
-        x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+        x, y = _from_steps(a), _from_steps(b)
         cut = min(x[-1], y[-1])
         x, y = x[: np.searchsorted(x, cut, side="right")], y[: np.searchsorted(y, cut, side="right")]
         shared = len(np.intersect1d(x, y))
@@ -206,31 +229,30 @@ def _agree(pairs: DataFrame, signatures: DataFrame, threshold: Threshold) -> Dat
     return joined.mapInArrow(run, "id long, other long")
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """The whole sets of some documents, one row per id, read from their texts again."""
-    needed = docs.select(F.col(id_col).cast("long").alias("id"), text_col).join(ids, "id", "left_semi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in pieces(batch, text_col):
-                found = [s.tobytes() for s in _sets(data, offsets, width)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.binary())], ["id", "shingles"])
-
-    return needed.mapInArrow(run, "id long, shingles binary")
+def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, width: int, threshold: Threshold) -> DataFrame:
+    """The pairs (id, other) whose whole sets, read from the texts again, reach the similarity.
 
-
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (id, other) that reach the similarity; ``other`` is the pivot."""
-    degree = pairs.groupBy("other").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
-    members = (
-        pairs.join(degree, "other")
-        .join(sets, "id")
-        .select("other", F.pmod(F.xxhash64("id"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("role"), "id", "shingles")
+    ``other`` is the pivot. Its set is sent to one task per ``SHARE`` members.
+    """
+    shares = pairs.groupBy("other").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
+    members = pairs.join(shares, "other").select(
+        "id", "other", F.pmod(F.xxhash64("id"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("role")
     )
-    pivots = degree.join(sets.withColumnRenamed("id", "other"), "other").select(
-        "other", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("role"), F.col("other").alias("id"), "shingles"
+    pivots = shares.select(
+        F.col("other").alias("id"), "other", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("role")
     )
-    dealt = pivots.union(members).repartition("other", "share").sortWithinPartitions("other", "share", "role")
+    wanted = pivots.union(members)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = passing(texts, pairs.select("id").union(pairs.select("other")))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in pieces(batch, "text"):
+                found = pa.array([s.tobytes() for s in _sets(data, offsets, width)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "other", "share", "role")), found], ["id", "other", "share", "role", "shingles"])
+
+    sets = texts.join(wanted, "id").mapInArrow(read, "id long, other long, share int, role int, shingles binary")
+    dealt = sets.repartition("other", "share").sortWithinPartitions("other", "share", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot = np.empty(0, dtype=np.uint64)
@@ -253,9 +275,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
 
 
 def _links(docs, pairs, signatures, threshold, id_col, text_col, width) -> DataFrame:
-    agreed = checkpointed(_agree(pairs, signatures, threshold))
-    ids = agreed.select("id").union(agreed.select("other")).distinct()
-    return checkpointed(_verified(agreed, _full_sets(docs, ids, id_col, text_col, width), threshold))
+    agreed = checkpointed(_agree(pairs, signatures, threshold).distinct())
+    return checkpointed(_verified(docs, agreed, id_col, text_col, width, threshold))
 
 
 def similar_documents(
@@ -268,15 +289,17 @@ def similar_documents(
     stored = spark.read.parquet(folder)
 
     # One member per digest and size stands for all documents with that set.
-    classes = stored.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("stand_in"))
+    classes = checkpointed(stored.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("stand_in")))
     stand_ins = classes.select(F.col("stand_in").alias("id"))
-    signatures = stored.where("n > 0").join(stand_ins, "id", "left_semi")
-    postings = _postings(signatures.select("id", "n", "prefix"), threshold)
+    signatures = stored.where("n > 0").select("id", "n", "prefix").join(stand_ins, "id", "left_semi")
+    shared = f"{folder}-postings"
+    _postings(signatures, threshold).write.parquet(shared)
+    postings = spark.read.parquet(shared)
 
-    near = _links(docs, _star_pairs(postings, threshold), signatures, threshold, id_col, text_col, width)
+    near = _links(docs, _star_pairs(postings, threshold), stored, threshold, id_col, text_col, width)
     labels = connected(near.select(F.col("id").alias("a"), F.col("other").alias("b")))
     crossing = _cross_pairs(postings, labels, threshold)
-    far = _links(docs, crossing, signatures, threshold, id_col, text_col, width)
+    far = _links(docs, crossing, stored, threshold, id_col, text_col, width)
     edges = labels.select(F.col("id").alias("a"), F.col("label").alias("b")).union(far.select("id", "other"))
     labels = connected(edges)
 
