@@ -38,8 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caremetrics.llm.id_filter import passing
 from caremetrics.llm.packing import NAMES, PACKED, by_bucket, dealt, rows_batch, run_numbers
 from caremetrics.llm.words import SPACED, Words, column_bytes, id_array, pieces, rolling, window_mask
+from caremetrics.session import checkpointed
 
 # Words per window.
 WINDOW = 20
@@ -143,11 +145,11 @@ def _hits_by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         at = np.unique(np.concatenate(parts))
         doc = np.searchsorted(bounds, at, side="right") - 1
         edges = np.searchsorted(doc, np.arange(n + 1))
-        return [(int(ids[d]), (at[edges[d] : edges[d + 1]] - bounds[d]).tolist()) for d in np.unique(doc)]
+        return [(int(ids[d]), (at[edges[d] : edges[d + 1]] - bounds[d]).astype(np.int32)) for d in np.unique(doc)]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         keys, places = zip(*rows) if rows else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(places, pa.list_(pa.int64()))], ["key", "hits"])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(places, pa.list_(pa.int32()))], ["key", "hits"])
 
     for batch in batches:
         for kind, number, body in zip(*(batch.column(c).to_pylist() for c in NAMES[1:])):
@@ -208,13 +210,14 @@ def _candidates(window: int, buckets: int):
                 keys = id_array(part.column("key"))
                 found = _Windows(keys, data, offsets, window, np.cumsum(edges[:-1]) > 0)
                 number, rows = next(numbers), []
-                sent = found.first
+                sent = np.sort(found.first)  # in the order of the text, which packs well
                 for bucket, chosen in by_bucket(found.hash[sent], buckets):
                     picked = sent[chosen]
                     parts = found.hash[picked].astype("<u8"), found.key[picked].astype("<i8"), found.start[picked].astype("<i8")
                     rows.append((bucket, _PROBES, number, b"".join(x.tobytes() for x in parts)))
                 head = np.concatenate([[len(keys)], keys, offsets]).astype("<i8").tobytes()
-                yield rows_batch([*rows, (number % buckets, _DOCUMENTS, number, head + data.tobytes())])
+                texts = pa.compress(data.tobytes(), "zstd", asbytes=True)
+                yield rows_batch([*rows, (number % buckets, _DOCUMENTS, number, head + texts)])
 
     return run
 
@@ -261,7 +264,8 @@ def _removals(window: int):
         n = int(np.frombuffer(body[:8], "<i8")[0])
         head = np.frombuffer(body[: 8 * (2 * n + 2)], "<i8")
         keys, offsets = head[1 : n + 1], head[n + 1 :]
-        data = np.frombuffer(body, np.uint8)[8 * (2 * n + 2) :]
+        texts = pa.decompress(body[8 * (2 * n + 2) :], int(offsets[-1]), "zstd", asbytes=True)
+        data = np.frombuffer(texts, np.uint8)
         found = _Windows(keys, data, offsets, window)
         gone = found.later | np.isin(found.hash, np.concatenate(repeated or [np.empty(0, "<u8")]))
         words = found.words
@@ -329,9 +333,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     packed = keyed.mapInArrow(_anchors(window, buckets), PACKED)
     probed = dealt(packed, "bucket").mapInArrow(_probe, PACKED)
-    hits = dealt(probed, "run").mapInArrow(_hits_by_document, "key long, hits array<long>")
-    merged = hits.groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("hits"))
-    around = keyed.join(merged, "key").mapInArrow(_candidates(window, buckets), PACKED)
+    hits = dealt(probed, "run").mapInArrow(_hits_by_document, "key long, hits array<int>")
+    # A few numbers per document, read twice. Rows of one id share their hits.
+    merged = checkpointed(hits.groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("hits")))
+    texts = passing(keyed, merged.select("key"), "key")
+    around = texts.join(merged, "key").mapInArrow(_candidates(window, buckets), PACKED)
     compared = dealt(around, "bucket").mapInArrow(_earliest, PACKED)
     removed = dealt(compared, "run").mapInArrow(
         _removals(window), "key long, whole_sha256 string, n_removed long, kept_sha256 string"
