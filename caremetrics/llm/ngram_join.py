@@ -44,6 +44,8 @@ from caremetrics.session import checkpointed, work_dir
 SLOTS = 1 << 16
 # Members verified per copy of a pivot's set.
 SHARE = 500
+# Sets of more shingles than this keep 32 bits of the ordering hashes, others 16.
+WIDE = 1 << 14
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -99,14 +101,42 @@ def _frequencies(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     return counts
 
 
-def _steps(ordered: np.ndarray) -> bytes:
-    """Ascending 16-bit numbers as differences, low bytes first, which packs well."""
-    return np.ascontiguousarray(np.diff(ordered, prepend=np.uint16(0)).view(np.uint8).reshape(-1, 2).T).tobytes()
+def _bits(n: int) -> int:
+    """Bits that a set of this size keeps of an ordering hash: more where 16 would mostly collide."""
+    return 16 if n <= WIDE else 32
 
 
-def _from_steps(body: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(2, -1).T).view(np.uint16).reshape(-1)
-    return np.cumsum(steps, dtype=np.uint16)
+def _leading(found: np.ndarray, order: np.uint64, p: int) -> bytes:
+    """The first ``p`` shingles under a hash order: ascending numbers as differences, low bytes first, which packs well."""
+    bits = _bits(len(found))
+    ordered = np.sort((mix(found ^ order) >> np.uint64(64 - bits)).astype(f"u{bits // 8}"))[:p]
+    steps = np.diff(ordered, prepend=ordered.dtype.type(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, bits // 8).T).tobytes()
+
+
+def _read(body: bytes, bits: int) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(bits // 8, -1).T).view(f"u{bits // 8}").reshape(-1)
+    return np.cumsum(steps, dtype=steps.dtype)
+
+
+def _allowed(a: bytes, b: bytes, n: int, other_n: int, most: int) -> bool:
+    """Whether two prefixes share a number and do not already differ in more than ``most`` shingles.
+
+    Numbers are counted as often as they occur, so shingles that collide never add to the
+    difference. At the smaller of the last numbers a prefix may end between equal ones,
+    so the difference counts those below it only, which both prefixes hold in full.
+    """
+    x, y = _read(a, _bits(n)), _read(b, _bits(other_n))
+    if _bits(n) < _bits(other_n):
+        y = (y >> 16).astype(x.dtype)
+    elif _bits(n) > _bits(other_n):
+        x = (x >> 16).astype(y.dtype)
+    cut = min(x[-1], y[-1])
+    held = [np.unique(v[v <= cut], return_counts=True) for v in (x, y)]
+    common, at, other_at = np.intersect1d(held[0][0], held[1][0], assume_unique=True, return_indices=True)
+    below = common < cut
+    shared = np.minimum(held[0][1][at[below]], held[1][1][other_at[below]]).sum()
+    return len(common) > 0 and (x < cut).sum() + (y < cut).sum() - 2 * shared <= most
 
 
 _SIGNATURE = [
@@ -121,8 +151,8 @@ _SIGNATURE = [
 def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: Threshold) -> DataFrame:
     """Per document: set size, digest, prefix under order 1, and under orders 2 and 3.
 
-    The latter are the leading 16 bits of the ordering hash; where two shingles
-    agree in them they count as shared, which only weakens the filter.
+    The latter are leading bits of the ordering hash; two shingles that agree in
+    them count as the same, which only weakens the filter.
     """
     counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, text_col, width))
     needed = docs.select(F.col(id_col).cast("long").alias("id"), text_col)
@@ -132,7 +162,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, thresho
         p = threshold.prefix(n) if n else 0
         rarity = counts.value[(found & np.uint64(SLOTS - 1)).astype(np.int64)]
         first = found[np.lexsort((found, rarity))[:p]]
-        others = [_steps(np.sort((mix(found ^ o) >> np.uint64(48)).astype(np.uint16))[:p]) for o in _ORDERS]
+        others = [_leading(found, o, p) for o in _ORDERS]
         return n, hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest(), first.view(np.int64), *others
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,21 +238,14 @@ def _agree(pairs: DataFrame, signatures: DataFrame, threshold: Threshold) -> Dat
     other = signatures.select(*[F.col(c).alias("other" if c == "id" else f"other_{c}") for c in mine.columns])
     joined = pairs.join(mine, "id").join(other, "other")
 
-    def allowed(a: bytes, b: bytes, most: int) -> bool:
-        x, y = _from_steps(a), _from_steps(b)
-        cut = min(x[-1], y[-1])
-        x, y = x[: np.searchsorted(x, cut, side="right")], y[: np.searchsorted(y, cut, side="right")]
-        shared = len(np.intersect1d(x, y))
-        return shared > 0 and len(x) + len(y) - 2 * shared <= most
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c = {name: batch.column(name).to_pylist() for name in batch.schema.names}
             kept = [
                 i
-                for i, most in enumerate(threshold.difference(a, b) for a, b in zip(c["n"], c["other_n"]))
-                if allowed(c["second"][i], c["other_second"][i], most)
-                and allowed(c["third"][i], c["other_third"][i], most)
+                for i, (a, b) in enumerate(zip(c["n"], c["other_n"]))
+                if _allowed(c["second"][i], c["other_second"][i], a, b, threshold.difference(a, b))
+                and _allowed(c["third"][i], c["other_third"][i], a, b, threshold.difference(a, b))
             ]
             yield batch.take(pa.array(kept, pa.int64())).select(["id", "other"])
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from caremetrics.llm import ngram_join, substring_dedup
@@ -61,6 +62,36 @@ def test_components_match_plain_python(spark, width, percent):
     assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(_shingles(t, width)) for i, t in docs}
 
 
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
+def test_near_copies_of_very_long_texts_are_linked(spark, width, percent):
+    words = [f"w{i}" for i in range(210_000)]
+    near, far = list(words), list(words)
+    near[::20_000] = ["v"] * len(near[::20_000])
+    far[::7] = ["x"] * len(far[::7])
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((words, near, far))], "doc_id long, text string")
+    got = ngram_join.similar_documents(df, width=width, percent=percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 0, 2: 2}
+    assert min(r["n_shingles"] for r in got) > 200_000
+
+
+def test_hash_orders_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(5)
+    for n in (3, 30, 500, ngram_join.WIDE - 40, 150_000):
+        for percent in (50, 80, 90):
+            threshold = ngram_join.Threshold(percent)
+            for _ in range(20 if n < 10_000 else 2):
+                pool = np.unique(rng.integers(0, 2**63, 2 * n + 10).astype(np.uint64))
+                rng.shuffle(pool)
+                gone = threshold.difference(n, n) // 2
+                # As different as the similarity allows: the first set, and one with ``gone`` exchanged or added.
+                for b in (pool[gone : n + gone], pool[: min(100 * n // percent, len(pool))]):
+                    a, b = np.sort(pool[:n]), np.sort(b)
+                    assert threshold.reached(len(np.intersect1d(a, b)), len(a), len(b))
+                    for order in ngram_join._ORDERS:
+                        one, two = (ngram_join._leading(s, order, threshold.prefix(len(s))) for s in (a, b))
+                        assert ngram_join._allowed(one, two, len(a), len(b), threshold.difference(len(a), len(b)))
+
+
 def test_odd_rows_of_the_join(odd, nothing):
     got = ngram_join.similar_documents(odd).collect()
     assert len(got) == len(ODD)
