@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +39,17 @@ def test_model_scores_are_probabilities_and_alike_for_equal_texts(scored):
     assert len(same) == 1
 
 
+def test_every_id_of_the_training_texts_is_learned_from():
+    texts = [" ".join(f"word{k} of text {i}" for k in range(40 * i)) for i in range(9)] + ["", "one"]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[:4]}), pa.RecordBatch.from_pydict({"text": texts[4:]})]
+    learned = [b.to_pydict() for b in lm_scoring._learn_from(lm_scoring.VOCABULARY)(iter(batches))]
+    windows = [w for b in learned for w in b["window"] if w is not None]
+    counts = {i: n for b in learned for i, n in zip(b["id"], b["n"]) if i is not None}
+    assert Counter(i for w in windows for i in w[1:] if i >= 0) == counts
+    assert counts[lm_scoring.END] == len(texts)
+    assert all(i >= 0 for w in windows for i in w[:2])
+
+
 def test_scoring_an_empty_table(nothing):
     assert lm_scoring.score(nothing).count() == 0
 
