@@ -163,12 +163,22 @@ def _strength(groups: DataFrame, rate: str, over: str) -> float:
 
 def posteriors(
     docs: DataFrame, labels: DataFrame, site: Column, section: Column, id_col: str = "doc_id",
-    text_col: str = "text", label_col: str = "quality", keep: float = KEEP,
+    text_col: str = "text", label_col: str = "quality", keep: float = KEEP, places: DataFrame | None = None,
 ) -> DataFrame:
-    """Per row: id, site, section, evidence, site_prior, section_prior, probability, keep."""
+    """Per row: id, site, section, evidence, site_prior, section_prior, probability, keep.
+
+    ``places`` (id, site, section; one row per id) goes before the columns ``site`` and
+    ``section``, which then serve the documents that it lacks.
+    """
     own = docs.withColumns({"site": F.coalesce(site.cast("string"), F.lit("")), "section": F.coalesce(section.cast("string"), F.lit(""))})
     # Measures only, a few bytes per document; read three times.
-    bins = checkpointed(measured(own, text_col, [id_col, "site", "section"]))
+    bins = measured(own, text_col, [id_col, "site", "section"])
+    if places is not None:
+        given = places.select(F.col(id_col).alias("_id"), F.struct("site", "section").alias("_place"))
+        bins = bins.join(given, F.col(id_col) == F.col("_id"), "left")
+        own_place = F.coalesce("_place", F.struct("site", "section"))
+        bins = bins.select(id_col, own_place["site"].alias("site"), own_place["section"].alias("section"), "bins")
+    bins = checkpointed(bins)
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), (F.col(label_col) > 0).cast("int").alias("good"))
     labelled = bins.join(known, F.col(id_col) == F.col("_id"))
     ratios, prior, n = _evidence(labelled)

@@ -65,16 +65,31 @@ def op2_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def _numbered(pages: DataFrame) -> DataFrame:
+    """page_id, url, and as doc_id the number that the path ends with."""
+    number = F.regexp_extract(url_rules.split_url(F.col("url"))["path"], r"/([0-9]{1,18})[^/0-9]*/?$", 1)
+    return pages.select("page_id", "url", F.when(number != "", number.cast("long")).alias("doc_id"))
+
+
+def document_places(pages: DataFrame) -> DataFrame:
+    """doc_id, its page's host (site), and the path before the document's number (section).
+
+    Of several pages of a document the one with the smallest url counts.
+    """
+    first = _numbered(pages).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("url").alias("url"))
+    parts = url_rules.split_url(F.col("url"))
+    section = F.regexp_replace(parts["path"], r"[^/]*/?$", "")
+    return first.select("doc_id", parts["host"].alias("site"), section.alias("section")).where("site != ''")
+
+
 @_query
 def op4_url_filters(spark, sf_dir):
     """Pages are labelled by the document whose number their path ends with."""
     pages = table(spark, sf_dir, "pages")
     labels = table(spark, sf_dir, "labels")
-    number = F.regexp_extract(url_rules.split_url(F.col("url"))["path"], r"/([0-9]{1,18})[^/0-9]*/?$", 1)
-    numbered = pages.select("page_id", F.when(number != "", number.cast("long")).alias("doc_id"))
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     verdict = F.when(bad, url_rules.BLOCK).when(F.col("quality") == 1, url_rules.ALLOW)
-    verdicts = numbered.join(labels, "doc_id").select("page_id", verdict.alias("verdict"))
+    verdicts = _numbered(pages).join(labels, "doc_id").select("page_id", verdict.alias("verdict"))
     return url_rules.judge(pages, verdicts)
 
 
@@ -85,9 +100,11 @@ def op1_mixing(spark, sf_dir):
 
 @_query
 def op9_quality(spark, sf_dir):
-    """Site: the source; section: the language within the source."""
+    """Site and section: host and path prefix of the document's page, without one its source and language."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return quality.posteriors(docs, labels, F.col("source"), F.col("lang"))
+    source = F.concat(F.lit("source "), F.coalesce("source", F.lit("")))
+    places = document_places(table(spark, sf_dir, "pages"))
+    return quality.posteriors(docs, labels, source, F.col("lang"), places=places)
 
 
 @_query

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caremetrics.llm import language_id, quality
+from caremetrics.llm import language_id, quality, queries
 from tests.conftest import SF
 from tests.llm.conftest import ODD, fold
 
@@ -82,6 +82,26 @@ def test_quality_catches_junk_and_keeps_clean_rows(spark):
     assert got.where("quality = 0 AND NOT keep").count() >= 0.7 * got.where("quality = 0").count()
 
 
+def test_hosts_and_paths_of_pages_reach_the_documents(spark, tmp_path):
+    docs = [(i, "plain words in a plain text of no kind", "en", "crawl") for i in range(403)] + [(None, "plain words", "en", "crawl")]
+    urls = [(i, f"https://{'Good' if i % 2 else 'bad'}.net/{'news' if i % 4 < 2 else 'shop'}/{i}.html?x") for i in range(402)]
+    urls += [(900, "https://zzz.net/late/1"), (901, None), (902, "no url /7")]
+    labels = [(i, int(i % 10 > 0) if i % 2 else int(i % 10 < 4), 0) for i in range(380)]
+    for name, rows, shape in (
+        ("documents", docs, "doc_id long, text string, lang string, source string"),
+        ("pages", urls, "page_id long, url string"),
+        ("labels", labels, "doc_id long, quality int, toxic int"),
+    ):
+        spark.createDataFrame(rows, shape).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r["doc_id"]: r for r in queries.op9_quality(spark, str(tmp_path)).collect()}
+    assert len(got) == len(docs)
+    assert (got[0]["site"], got[0]["section"]) == ("bad.net", "/news/")
+    assert (got[3]["site"], got[3]["section"]) == ("good.net", "/shop/")
+    assert got[1]["site"] == "good.net"  # the smallest of its two urls
+    assert (got[402]["site"], got[402]["section"]) == (got[None]["site"], got[None]["section"]) == ("source crawl", "en")
+    assert got[400]["site_prior"] < got[402]["site_prior"] < got[401]["site_prior"]
+
+
 def test_quality_without_labels_or_rows(spark, odd, nothing):
     none = spark.createDataFrame([], "doc_id long, quality int")
     site, part = F.col("source"), F.col("lang")
