@@ -18,6 +18,8 @@ labels nothing is mined. Other columns are not read.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +37,6 @@ GIVEN_RULES = [
 SUPPORT = 0.005
 # Share of the urls with the combination that must have the rule's verdict.
 CONFIDENCE = 0.5
-# Tokens of a url that take part in mining, from the front. Itemsets grow
-# exponentially with it; matching uses all tokens.
-MINED_TOKENS = 12
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
@@ -83,13 +82,20 @@ def given_verdict(host: Column, path: Column, rules=GIVEN_RULES) -> tuple[Column
     return rule, verdict
 
 
-def mine(
-    labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, mined_tokens: int = MINED_TOKENS
-) -> DataFrame:
-    """Rules from rows of (tokens, verdict): antecedent, verdict, confidence, support."""
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+    """Rules from rows of (tokens, verdict): antecedent, verdict, confidence, support.
+
+    Tokens below the support are in no frequent combination and go first; all others
+    are mined. Combinations grow exponentially with the frequent tokens of one url.
+    """
     label = F.concat(F.lit("verdict "), "verdict")
-    baskets = labelled.where("verdict IS NOT NULL").select(
-        F.concat(F.slice("tokens", 1, mined_tokens), F.array(label)).alias("items")
+    known = labelled.where("verdict IS NOT NULL").select("tokens", label.alias("label"))
+    # So few that they fit a row: at most 1 / support, times the tokens of a url.
+    least = ceil(support * known.count())
+    seen = known.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    frequent = seen.where(F.col("n") >= least).agg(F.collect_set("token").alias("frequent"))
+    baskets = known.join(F.broadcast(frequent)).select(
+        F.concat(F.array_intersect("tokens", "frequent"), F.array("label")).alias("items")
     )
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     verdict = F.col("consequent")[0]

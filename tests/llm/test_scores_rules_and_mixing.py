@@ -177,6 +177,16 @@ def test_mined_rules_decide_the_rest(spark):
     assert got[100]["verdict"] == "block" and "spam.net" in got[100]["mined_rule"]
 
 
+def test_rules_on_the_last_tokens_of_deep_urls(spark):
+    path = "/".join(f"part{'abcdefghi'[k]}" for k in range(9))
+    rows = [(i, f"http://a.deep.net/{path}?{'bad' if i % 2 else 'good'}={i}&once{i}", "block" if i % 2 else "allow") for i in range(40)]
+    pages = spark.createDataFrame([(i, u) for i, u, _ in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, v) for i, _, v in rows], "page_id long, verdict string")
+    got = {r["page_id"]: r for r in url_rules.judge(pages, labels, support=0.1).collect()}
+    assert all((got[i]["verdict"], got[i]["confidence"]) == (v, 1.0) for i, _, v in rows)
+    assert "query bad" in got[1]["mined_rule"] and "query good" in got[0]["mined_rule"]
+
+
 def test_raked_sums_meet_their_targets(spark):
     cells = [(s, l, t, float(100 + 13 * i)) for i, (s, l, t) in enumerate((s, l, t) for s in "abc" for l in "xy" for t in "pq")]
     df = spark.createDataFrame(cells, "cell_source string, cell_lang string, cell_topic string, tokens double")
