@@ -1,7 +1,11 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block (a line of the text) matches a template if it holds at least the share
-``threshold`` of the template's distinct tokens. The template's tokens are
+A block (a line of the text, or a span of neighbouring lines for a notice that is
+wrapped) matches a template if it holds at least the share ``threshold`` of the
+template's distinct tokens. The lines between the first and the last of a span hold
+no more words than the longest template over the threshold; lines without words do
+not count. A span matches only if it holds more of the template than its first line
+and than the span from its next line on, so a notice is met where it begins. The template's tokens are
 ordered from rare to frequent by the number of blocks that hold them in the whole
 table. A matching block must hold one of the template's first ``size - required
 + 1`` tokens (prefix filter), at least the required number of template tokens
@@ -110,6 +114,30 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.select(id_col, "block", tokens.alias("tokens"))
 
 
+def spans(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[str], longest: int) -> DataFrame:
+    """id, number of the first line, and the vocabulary tokens of the longest span from there on.
+
+    Also those of its first line (``alone``) and of the span from the next line on (``later``).
+    """
+    words = F.transform(F.split(F.lower(text_col), "\n"), lambda line: F.filter(F.split(line, _BREAKS), lambda w: w != ""))
+    numbered = F.transform(
+        words, lambda w, at: F.struct(at.alias("block"), F.array_intersect(w, _literal(vocabulary)).alias("held"), F.size(w).alias("n"))
+    )
+    lines = docs.select(id_col, F.filter(numbered, lambda line: line["n"] > 0).alias("lines"))
+
+    def taken(line: Column, at: Column) -> Column:
+        # Every line that follows has a word, so no span is longer than that.
+        following = F.slice("lines", at + 2, F.lit(longest + 1))
+        start = F.struct(line["held"].alias("held"), F.lit(0).alias("inner"))
+        grown = lambda span, x: F.struct(F.array_union(span["held"], x["held"]).alias("held"), (span["inner"] + x["n"]).alias("inner"))
+        whole = F.aggregate(following, start, lambda span, x: F.when(span["inner"] <= longest, grown(span, x)).otherwise(span))
+        return F.struct(line["block"].alias("block"), line["held"].alias("alone"), whole["held"].alias("tokens"))
+
+    found = lines.where(F.size("lines") > 1).select(id_col, F.transform("lines", taken).alias("spans"))
+    later = lambda s, at: F.struct(s["block"].alias("block"), s["tokens"].alias("tokens"), s["alone"].alias("alone"), F.get("spans", at + 1)["tokens"].alias("later"))
+    return found.select(id_col, F.inline(F.transform("spans", later)))
+
+
 def _literal(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
@@ -134,6 +162,14 @@ def contained(
     vocabulary = sorted({w for _, words in split for w in words})
     lines = blocks(docs, id_col, text_col)
     rank = token_order(lines, vocabulary)
+    nothing = F.array().cast("array<string>")
+    longest = max(-(-len(text.split()) * 1000 // round(threshold * 1000)) for _, text in templates)
+    # Only texts that hold enough of some template, as parts of words at least, can have a span.
+    lowered, enough = F.lower(text_col), F.lit(False)
+    for _, words in split:
+        enough = enough | (sum(F.contains(lowered, F.lit(w)).cast("int") for w in words) >= _required(words, threshold))
+    wrapped = spans(docs.where(enough), id_col, text_col, vocabulary, longest)
+    lines = lines.select(id_col, "block", "tokens", nothing.alias("alone"), nothing.alias("later")).unionByName(wrapped)
 
     shape = "template int, label string, size int, required int, ranks array<int>"
     rows = []
@@ -151,8 +187,9 @@ def contained(
     # Only tokens that some template's prefix holds can start a match.
     near = lines.where(F.arrays_overlap("tokens", _literal([words_of[r] for r in leading])))
     held = F.array_intersect(_literal(words_of), F.col("tokens"))
-    ranked = near.withColumn("held", F.transform(held, lambda w: F.array_position(_literal(words_of), w).cast("int") - 1))
-    ranked = ranked.where(F.size("held") >= shortest).select(id_col, "block", "held")
+    ranks_of = lambda held: F.transform(held, lambda w: F.array_position(_literal(words_of), w).cast("int") - 1)
+    ranked = near.withColumns({"held": ranks_of(held), "alone": ranks_of(F.col("alone")), "later": ranks_of(F.coalesce("later", nothing))})
+    ranked = ranked.where(F.size("held") >= shortest).select(id_col, "block", "held", "alone", "later")
     probes = ranked.withColumn("first", F.explode("held"))
     candidates = probes.join(F.broadcast(prefixes), "first")  # one row per template token at most
     # A pair counts at its first shared token only, so both sides need enough from there on.
@@ -164,6 +201,8 @@ def contained(
     )
     common = F.array_intersect("held", "ranks")
     verified = possible.where((F.element_at(common, 1) == F.col("first")) & (F.size(common) >= F.col("required")))
+    other = lambda c: F.size(F.array_intersect(c, "ranks"))
+    verified = verified.where((F.size(common) > other("alone")) & (F.size(common) > other("later")))
     return verified.select(id_col, "block", "label", (F.size(common) / F.col("size")).alias("share"))
 
 

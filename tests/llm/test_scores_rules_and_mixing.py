@@ -136,6 +136,16 @@ def test_license_join_finds_every_block_over_the_threshold(spark):
     assert got == wanted
 
 
+def test_wrapped_notices_are_found(spark):
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+    mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy"
+    one_a_line = "text before\n\n" + "\n".join(licenses.TEMPLATES[1][1].split()) + "\nafter"
+    apart = "Redistribution and use in source and binary forms\n" + "other words here\n" * 20 + "with or without modification are permitted"
+    docs = spark.createDataFrame(list(enumerate((bsd, "a\nb c\n" + mpl, one_a_line, apart))), "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(docs).collect()}
+    assert got == {0: ("bsd-3", 1.0), 1: ("mpl-2", 1.0), 2: ("mit", 1.0), 3: ("", 0.0)}
+
+
 def test_licenses_of_odd_and_empty_tables(odd, nothing):
     assert licenses.scan(odd).count() == len(ODD)
     assert licenses.scan(nothing).count() == 0
