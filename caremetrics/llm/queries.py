@@ -16,7 +16,10 @@ from caremetrics.llm import (
     lm_scoring,
     mixing,
     ngram_join,
+    order_minhash,
     quality,
+    ranked_search,
+    resampling,
     substring_dedup,
     url_rules,
 )
@@ -117,6 +120,22 @@ def op7_lm_scoring(spark, sf_dir):
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_order_minhash(spark, sf_dir):
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_resampling(spark, sf_dir):
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @_query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -11,7 +11,7 @@ from tests.llm.test_exact_and_leaks import _expected, _normal
 from tests.llm.test_similarity_and_repeats import _components
 from tools.check import compare, open_tables
 
-NATIVE = ["op1_mixing", "op2_license_scan", "op4_url_filters"]
+NATIVE = ["op1_mixing", "op2_license_scan", "op4_url_filters", "op11_order_minhash"]
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,7 @@ def test_native_queries_run_no_python(spark, key):
 
 def test_queries_are_registered_and_cover_every_row(spark):
     keys = [k for k in entry_points.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in keys) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in keys) == list(range(1, 14))
     documents = spark.read.parquet(f"{SF}/documents.parquet").count()
     assert registry()["op9_quality"](spark, SF).count() == documents
     assert registry()["op1_mixing"](spark, SF).count() == documents
