@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from caremetrics.llm.words import ALNUM_LOWER, Words, pieces
 from caremetrics.session import work_dir
@@ -45,6 +44,8 @@ BLOCK_DOCS, LIST_BLOCKS = 32, 12
 PROJECTED = 32
 # Query terms of one slice (24 bytes each).
 SLICE_TERMS = 200_000
+# Segments in a file of the index: readers and writers hold a file's rows together.
+SEGMENTS_PER_FILE = 2
 # Segments that meet one copy of a slice where there are several slices.
 SEGMENTS_PER_COPY = 64
 # Bits of the filter that drops terms no query has; a fixed size, 2 MB.
@@ -60,6 +61,20 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(shift, sizes) + np.arange(int(sizes.sum()))
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers that are not negative, in as few bytes each as the largest needs; high bytes together, so that they compress."""
+    width = next(w for w in (1, 2, 4, 8) if int(numbers.max(initial=0)) < 1 << (8 * w - (w == 8)))
+    raw = numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    return bytes([width]) + raw.T.tobytes()
+
+
+def _unpacked(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
+    body = np.frombuffer(batch.column(name)[row].as_buffer(), dtype=np.uint8)
+    width = int(body[0])
+    kind = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.int64}[width]
+    return np.ascontiguousarray(body[1:].reshape(width, -1).T).view(kind).ravel()
+
+
 def _one_row(columns: dict[str, tuple[pa.DataType, object]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], t) for t, v in columns.values()], list(columns))
 
@@ -136,11 +151,11 @@ class _Segment:
             {
                 "ids": (pa.list_(ids.type), ids),
                 "lengths": (_LONGS, np.concatenate(self.lengths)),
-                "sizes": (_INTS, np.concatenate(self.sizes)),
+                "sizes": (pa.binary(), _packed(np.concatenate(self.sizes))),
                 "vocabulary": (_LONGS, vocabulary),
                 "held_by": (_INTS, np.bincount(coords, minlength=len(vocabulary))),
-                "coords": (_INTS, coords),
-                "tfs": (_LONGS, np.concatenate(self.tfs)),
+                "coords": (pa.binary(), _packed(coords)),
+                "tfs": (pa.binary(), _packed(np.concatenate(self.tfs))),
                 "counted": (pa.int64(), self.counted),
                 "total": (pa.int64(), self.total),
             }
@@ -165,8 +180,8 @@ def segments(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str) -> D
     picked = docs.select(F.col(id_col).alias("id__"), F.col(text_col).alias("text__"))
     kind = picked.schema["id__"].dataType.simpleString()
     shape = (
-        f"ids array<{kind}>, lengths array<bigint>, sizes array<int>, vocabulary array<bigint>, held_by array<int>, "
-        "coords array<int>, tfs array<bigint>, counted long, total long"
+        f"ids array<{kind}>, lengths array<bigint>, sizes binary, vocabulary array<bigint>, held_by array<int>, "
+        "coords binary, tfs binary, counted long, total long"
     )
     return picked.mapInArrow(run, shape)
 
@@ -221,10 +236,11 @@ def _summaries(keys: np.ndarray, levels: np.ndarray, size: int) -> tuple[np.ndar
 
 def _blocked(batch: pa.RecordBatch, row: int, counted: int, total: int) -> dict[str, tuple[pa.DataType, object]]:
     """The index row of a segment."""
-    sizes, coords, vocabulary = (_column(batch, c, row) for c in ("sizes", "coords", "vocabulary"))
+    sizes, coords = (_unpacked(batch, c, row).astype(np.int64) for c in ("sizes", "coords"))
+    vocabulary = _column(batch, "vocabulary", row)
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    impacts = impact(_column(batch, "tfs", row), _column(batch, "lengths", row)[owner], counted, total)
+    impacts = impact(_unpacked(batch, "tfs", row).astype(np.int64), _column(batch, "lengths", row)[owner], counted, total)
     step = max(1, -(-int(impacts.max(initial=0)) // _LEVELS))
     levels = (-(-impacts // step)).astype(np.uint8)
     directions = _directions(starts, coords, impacts, vocabulary)
@@ -247,26 +263,29 @@ def _blocked(batch: pa.RecordBatch, row: int, counted: int, total: int) -> dict[
         summary_sizes.append(np.bincount(found // len(vocabulary), minlength=n))
         before += n
     ids = batch.column("ids")[row].values
+    arrays = {
+        "sizes": sizes,
+        "coords": coords,
+        "impacts": impacts,
+        "held": np.concatenate(held),
+        "blocks": np.array(blocks),
+        "block_sizes": np.concatenate(block_sizes),
+        "summary_sizes": np.concatenate(summary_sizes),
+        # Block and coordinate as one ascending number, of which the gaps take least room.
+        "summary_gaps": np.diff(np.concatenate(places), prepend=0),
+        "summary_levels": np.concatenate(block_levels),
+    }
     return {
         "ids": (pa.list_(ids.type), ids),
-        "sizes": (_INTS, sizes),
         "vocabulary": (_LONGS, vocabulary),
-        "coords": (_INTS, coords),
-        "impacts": (_INTS, impacts.astype(np.int32)),
-        "held": (_INTS, np.concatenate(held)),
-        "blocks": (_INTS, np.array(blocks)),
-        "block_sizes": (_INTS, np.concatenate(block_sizes)),
-        "summary_sizes": (_INTS, np.concatenate(summary_sizes)),
-        # Block and coordinate as one ascending number, of which the gaps take least room.
-        "summary_gaps": (_INTS, np.diff(np.concatenate(places), prepend=0)),
-        "summary_levels": (pa.binary(), np.concatenate(block_levels).tobytes()),
         "step": (pa.int64(), step),
+        **{name: (pa.binary(), _packed(numbers)) for name, numbers in arrays.items()},
     }
 
 
 _INDEX = (
-    "sizes array<int>, vocabulary array<bigint>, coords array<int>, impacts array<int>, held array<int>, blocks array<int>, "
-    "block_sizes array<int>, summary_sizes array<int>, summary_gaps array<int>, summary_levels binary, step long"
+    "vocabulary array<bigint>, step long, sizes binary, coords binary, impacts binary, held binary, blocks binary, "
+    "block_sizes binary, summary_sizes binary, summary_gaps binary, summary_levels binary"
 )
 
 
@@ -276,7 +295,7 @@ def blocked_index(parts: DataFrame, counted: int, total: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                if len(batch.column("sizes")[row]):
+                if len(batch.column("ids")[row].values):
                     yield _one_row(_blocked(batch, row, counted, total))
 
     kind = parts.schema["ids"].dataType.simpleString()
@@ -290,18 +309,19 @@ class _Index:
     """One segment of the index, ready to be searched."""
 
     def __init__(self, batch: pa.RecordBatch, row: int):
-        get = lambda name: _column(batch, name, row)
+        get = lambda name: _unpacked(batch, name, row).astype(np.int64)
         self.ids = batch.column("ids")[row].values
-        self.sizes, self.coords, self.impacts = get("sizes"), get("coords"), get("impacts").astype(np.int64)
+        self.vocabulary = _column(batch, "vocabulary", row)
+        self.sizes, self.coords, self.impacts = get("sizes"), get("coords"), get("impacts")
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.vocabulary, self.held = get("vocabulary"), get("held")
-        self.blocks, self.block_sizes = get("blocks"), get("block_sizes")
+        self.held, self.blocks, self.block_sizes = get("held"), get("blocks"), get("block_sizes")
         self.first_block = np.cumsum(self.blocks) - self.blocks
         self.block_starts = np.cumsum(self.block_sizes) - self.block_sizes
         self.summary_sizes = get("summary_sizes")
-        self.summary_coords = np.cumsum(get("summary_gaps"), dtype=np.int64) % len(self.vocabulary)
+        places = np.cumsum(_unpacked(batch, "summary_gaps", row), dtype=np.int64)
+        self.summary_coords = (places % len(self.vocabulary)).astype(np.int32)
         self.summary_starts = np.cumsum(self.summary_sizes) - self.summary_sizes
-        self.summary_levels = np.frombuffer(batch.column("summary_levels")[row].as_py(), dtype=np.uint8)
+        self.summary_levels = _unpacked(batch, "summary_levels", row)
         self.step = batch.column("step")[row].as_py()
         self.highest = np.zeros(len(self.vocabulary), dtype=np.int64)
         np.maximum.at(self.highest, self.coords, self.impacts)
@@ -432,8 +452,9 @@ def build(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, item_
     spark = docs.sparkSession
     folder = work_dir(spark, "ranked-search")
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+    def stored(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
+        written = df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file)
+        written.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     terms = stored(query_terms(queries, item_col, item_text_col), "terms")
@@ -441,7 +462,7 @@ def build(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, item_
     counted, total = parts.agg(F.sum("counted"), F.sum("total")).first()
     counted, total = counted or 0, total or 0
     asked = stored(weighted(terms, parts, counted), "queries")
-    return stored(blocked_index(parts, counted, total), "index"), asked
+    return stored(blocked_index(parts, counted, total), "index", SEGMENTS_PER_FILE), asked
 
 
 def rank(
