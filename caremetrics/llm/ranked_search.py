@@ -37,7 +37,7 @@ from caremetrics.session import work_dir
 # Rows given out per query.
 BEST = 10
 # A segment ends at so many documents or bytes of text.
-SEGMENT_DOCS, SEGMENT_BYTES = 4096, 8 << 20
+SEGMENT_DOCS, SEGMENT_BYTES = 2048, 4 << 20
 # Documents per block, about, and most blocks of a list.
 BLOCK_DOCS, LIST_BLOCKS = 32, 12
 # Dimensions that term vectors are projected to before they are compared.
