@@ -64,3 +64,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(_shared_root(spark))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, purpose: str = "stored") -> DataFrame:
+    """The rows of ``df``, written to the shared folder and read again.
+
+    A checkpoint keeps the size that was estimated for its plan. In a loop that joins a
+    table with frames made from itself, estimates multiply from round to round, until
+    planning does not end; here the estimate is the size of the files.
+    """
+    spark, path = df.sparkSession, work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
