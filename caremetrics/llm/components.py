@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caremetrics.session import checkpointed
+from caremetrics.session import stored
 
 
 def _towards_smallest(edges: DataFrame) -> DataFrame:
@@ -27,10 +27,10 @@ def connected(links: DataFrame, rounds: int = 100) -> DataFrame:
 
     Alternates two star operations until the links no longer change, which takes
     a number of rounds that grows with the logarithm of the longest path. Each
-    round is cut off by a checkpoint; sums over a node combine before the
+    round is written and read again, which cuts it off; sums over a node combine before the
     shuffle, and no neighbourhood is ever gathered. Loops and repeated links do no harm.
     """
-    edges = checkpointed(
+    edges = stored(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
     )
     before = None
@@ -41,5 +41,5 @@ def connected(links: DataFrame, rounds: int = 100) -> DataFrame:
                 edges.select("b", "b").distinct()
             )
         before = state
-        edges = checkpointed(_among_smaller(_towards_smallest(edges)))
+        edges = stored(_among_smaller(_towards_smallest(edges)))
     raise RuntimeError("components did not settle")

@@ -10,6 +10,11 @@ are raked, never documents, and sums combine before each shuffle.
 A target is given as shares of some values, or as an exponent: shares are then in
 proportion to the tokens of a value to that power (1 keeps the mix, 0 makes all
 values equal). Values without a given share keep their part of what is left.
+Targets that contradict each other cannot be met; the last dimension is met then,
+and a warning names the distance of the others.
+
+A topic is the one whose marks occur most often in the text, in order of ``TOPICS`` if
+equal, and ``prose`` without any.
 
 A null source or language is the value ``unknown``; a null or empty text has no
 tokens and topic ``none``, is in no way special otherwise, and is drawn by its
@@ -19,10 +24,12 @@ empty table gives an empty result. Columns named like an added one are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import warnings
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caremetrics.session import checkpointed
+from caremetrics.session import checkpointed, stored
 
 DIMENSIONS = ["source", "lang", "topic"]
 # Exponents or shares that the production mix aims at.
@@ -33,23 +40,42 @@ TARGETS: dict[str, float | dict[str, float]] = {
 }
 # Tokens of the sample over tokens of the table.
 SIZE = 1.0
+# Farthest that a sum may be from its target, as a share; change of a weight below which a sweep changed nothing.
 TOLERANCE = 1e-3
-MAX_SWEEPS = 20
+SETTLED = 1e-9
+# Sweeps after which targets count as contradictory, and sweeps between two looks at the sums.
+MAX_SWEEPS = 1000
+SWEEPS_A_JOB = 4
 # Cells raked in one partition and sent to every task; more are dealt out and joined by shuffles.
 SMALL_CELLS = 20_000
 SEED = 20240229
 _DRAWS = 1 << 40
 
 
+# Marks of the topics, as patterns of which the matches are counted.
+TOPICS = {
+    "license": r"(?i)\b(?:licen[cs]e[ds]?|copyright|warranty|redistribut\w+|permission)\b",
+    "contact": r"[\w.+-]+@[\w-]+\.\w|(?i)\b(?:phone|tel|email|address)\b",
+    "table": r" \| |\t",
+    "code": r"[{};]\s*\n|\b(?:def|return|import|function|class)\b |=>|::",
+    "web": r"https?://|(?i)\b(?:click|cookies?|subscribe|login|sign up)\b",
+    "numbers": r"\b[0-9]+(?:[.,:/-][0-9]+)+\b",
+    "list": r"(?m)^\s*(?:[-*•]|[0-9]+[.)])\s",
+    "question": r"\?",
+}
+
+
 def topic_of(text: Column) -> Column:
-    """A coarse topic from marks in the whole text."""
+    """The topic with most marks in the whole text."""
     present = F.coalesce(text, F.lit(""))
+    counts = [F.regexp_count(present, F.lit(pattern)) for pattern in TOPICS.values()]
+    # The earlier of two equal counts is the larger number.
+    ranked = F.greatest(*[c * len(TOPICS) + (len(TOPICS) - 1 - k) for k, c in enumerate(counts)])
+    names = F.array(*[F.lit(name) for name in reversed(TOPICS)])
     return (
         F.when(~F.rlike(present, F.lit(r"[^\x20\x09-\x0D]")), "none")
-        .when(F.contains(F.lower(present), F.lit("license")), "license")
-        .when(F.contains(present, F.lit("@")), "contact")
-        .when(F.contains(present, F.lit(" | ")), "table")
-        .otherwise("prose")
+        .when(ranked < len(TOPICS), "prose")
+        .otherwise(F.get(names, F.pmod(ranked, F.lit(len(TOPICS)))))
     )
 
 
@@ -59,19 +85,19 @@ def described(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumns(
         {
             "n_tokens": n,
-            "cell_source": F.coalesce(F.col("source").cast("string"), F.lit("unknown")),
-            "cell_lang": F.coalesce(F.col("lang").cast("string"), F.lit("unknown")),
-            "cell_topic": topic_of(F.col(text_col)),
+            "source__cell": F.coalesce(F.col("source").cast("string"), F.lit("unknown")),
+            "lang__cell": F.coalesce(F.col("lang").cast("string"), F.lit("unknown")),
+            "topic__cell": topic_of(F.col(text_col)),
         }
     )
 
 
-_CELL = [f"cell_{d}" for d in DIMENSIONS]
+_CELL = [f"{d}__cell" for d in DIMENSIONS]
 
 
 def _target_sums(cells: DataFrame, dimension: str, target: float | dict[str, float]) -> DataFrame:
     """value, target tokens: one row per value of the dimension that has tokens."""
-    column = f"cell_{dimension}"
+    column = f"{dimension}__cell"
     sums = cells.groupBy(column).agg(F.sum("tokens").alias("held")).where("held > 0")
     if not isinstance(target, dict):
         return sums.select(column, F.pow("held", F.lit(float(target))).alias("part"))
@@ -93,38 +119,65 @@ def _scaled(targets: DataFrame, column: str, total: float) -> DataFrame:
     return targets.select(column, (F.col("part") / F.lit(float(parts)) * F.lit(float(total))).alias("aim"))
 
 
+def _swept(weighed: DataFrame, dimensions: list[str], few: bool) -> DataFrame:
+    """One sweep: the weights scaled to the sums of one dimension after the other."""
+    for dimension in dimensions:
+        column, aim = f"{dimension}__cell", F.col(f"{dimension}__aim")
+        if few:
+            held = F.sum("weight").over(Window.partitionBy(column))
+        else:
+            # A value may hold a third of all cells, so sums combine before they meet.
+            sums = weighed.groupBy(column).agg(F.sum("weight").alias("held__"))
+            weighed, held = weighed.join(sums, column), F.col("held__")
+        scaled = F.when(aim.isNotNull() & (held > 0), F.col("weight") * aim / held).otherwise(F.col("weight"))
+        weighed = weighed.withColumn("weight", scaled).drop("held__")
+    return weighed
+
+
+def _distance(weighed: DataFrame, dimensions: list[str]) -> float:
+    """The farthest that a sum is from its target, as a share of the target."""
+    worst = 0.0
+    for dimension in dimensions:
+        aim = F.max(f"{dimension}__aim")
+        apart = F.when(aim > 0, F.abs(F.sum("weight") / aim - 1)).otherwise(0.0)
+        sums = weighed.groupBy(f"{dimension}__cell").agg(apart.alias("apart"))
+        worst = max(worst, sums.agg(F.max("apart")).first()[0] or 0.0)
+    return worst
+
+
 def rake(
     cells: DataFrame, targets: dict[str, float | dict[str, float]], tolerance: float = TOLERANCE,
-    max_sweeps: int = MAX_SWEEPS,
+    max_sweeps: int = MAX_SWEEPS, small_cells: int = SMALL_CELLS,
 ) -> DataFrame:
     """Add ``weight`` to cells: tokens scaled until every dimension meets its targets.
 
-    Stops once a sweep changes no weight by more than ``tolerance`` (as a share).
+    Ends when all sums are within ``tolerance`` of their targets, or when sweeps change
+    nothing any more, which happens if targets contradict each other.
     """
     cells = checkpointed(cells)
-    few = cells.count() <= SMALL_CELLS
-    # One partition meets every grouping, so that a sweep over few cells has no exchange.
-    placed = (lambda df: df.coalesce(1)) if few else (lambda df: df)
-    cells = placed(cells)
+    few = cells.count() <= small_cells
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    aims = {
-        d: placed(checkpointed(_scaled(_target_sums(cells, d, target), f"cell_{d}", total)))
-        for d, target in targets.items()
-    }
     weighed = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(max_sweeps):
-        weighed = weighed.select(*_CELL, "tokens", "weight", F.col("weight").alias("before"))
-        for dimension, aim in aims.items():
-            column = f"cell_{dimension}"
-            sums = weighed.groupBy(column).agg(F.sum("weight").alias("held")).where("held > 0")
-            factors = sums.join(aim, column).select(column, (F.col("aim") / F.col("held")).alias("factor"))
-            weighed = weighed.join(factors, column, "left").select(
-                *_CELL, "tokens", (F.col("weight") * F.coalesce("factor", F.lit(1.0))).alias("weight"), "before"
-            )
-        weighed = placed(checkpointed(weighed))
-        change = F.abs(F.col("weight") / F.col("before") - 1)
-        if (weighed.where("before > 0").agg(F.max(change)).first()[0] or 0.0) <= tolerance:
+    for d, target in targets.items():
+        aims = _scaled(_target_sums(cells, d, target), f"{d}__cell", total)
+        weighed = weighed.join(aims.withColumnRenamed("aim", f"{d}__aim"), f"{d}__cell", "left")
+    dimensions, columns = list(targets), [*_CELL, "tokens", "weight", *[f"{d}__aim" for d in targets]]
+    # One partition meets every grouping, so that sweeps over few cells have no exchange.
+    keep = (lambda df: checkpointed(df.coalesce(1))) if few else (lambda df: stored(df, "cells"))
+    weighed = keep(weighed.select(*columns))
+    for done in range(0, max_sweeps, SWEEPS_A_JOB if few else 1):
+        swept = weighed.withColumn("before__", F.col("weight"))
+        for _ in range(SWEEPS_A_JOB if few else 1):
+            swept = _swept(swept, dimensions, few)
+        swept = keep(swept.select(*columns, "before__"))
+        distance = _distance(swept, dimensions)
+        change = F.abs(F.col("weight") / F.col("before__") - 1)
+        moved = swept.where("before__ > 0").agg(F.max(change)).first()[0] or 0.0
+        weighed = swept.drop("before__")
+        if distance <= tolerance or moved <= SETTLED:
             break
+    if total and distance > tolerance:
+        warnings.warn(f"targets of the mix are not met: a sum is {distance:.3g} of its target away", stacklevel=2)
     return weighed.select(*_CELL, "tokens", "weight")
 
 
@@ -140,16 +193,16 @@ def mixed(
     cells = placed.groupBy(*_CELL).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents"))
     raked = rake(cells.select(*_CELL, "tokens"), targets)
     factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0) * F.lit(float(size))
-    factors = checkpointed(raked.select(*_CELL, factor.alias("expected")))
+    factors = checkpointed(raked.select(*_CELL, factor.alias("expected__")))
     if factors.count() <= SMALL_CELLS:
         factors = F.broadcast(factors)
     kept = [c for c in (columns or docs.columns) if c not in ("topic", "n_tokens", "weight", "probability", "copies")]
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(_DRAWS)) / F.lit(float(_DRAWS))
-    expected = F.col("expected")
+    expected = F.col("expected__")
     copies = F.floor(expected) + F.when(draw < expected - F.floor(expected), 1).otherwise(0)
     return placed.join(factors, _CELL, "left").select(
         *kept,
-        F.col("cell_topic").alias("topic"),
+        F.col("topic__cell").alias("topic"),
         "n_tokens",
         expected.alias("weight"),
         F.least(F.lit(1.0), expected).alias("probability"),

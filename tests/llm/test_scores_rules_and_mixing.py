@@ -199,15 +199,15 @@ def test_rules_on_the_last_tokens_of_deep_urls(spark):
 
 def test_raked_sums_meet_their_targets(spark):
     cells = [(s, l, t, float(100 + 13 * i)) for i, (s, l, t) in enumerate((s, l, t) for s in "abc" for l in "xy" for t in "pq")]
-    df = spark.createDataFrame(cells, "cell_source string, cell_lang string, cell_topic string, tokens double")
+    df = spark.createDataFrame(cells, "source__cell string, lang__cell string, topic__cell string, tokens double")
     raked = mixing.rake(df, {"source": 0.0, "lang": {"x": 0.25}, "topic": 1.0}, 1e-9, 100).toPandas()
     total = df.agg(F.sum("tokens")).first()[0]
-    assert raked.groupby("cell_source")["weight"].sum().to_numpy() == pytest.approx([total / 3] * 3, rel=1e-5)
-    assert raked.groupby("cell_lang")["weight"].sum().to_dict() == pytest.approx({"x": total / 4, "y": total * 3 / 4}, rel=1e-5)
-    before = raked.groupby("cell_topic")["tokens"].sum()
-    assert raked.groupby("cell_topic")["weight"].sum().to_dict() == pytest.approx(before.to_dict(), rel=1e-5)
+    assert raked.groupby("source__cell")["weight"].sum().to_numpy() == pytest.approx([total / 3] * 3, rel=1e-5)
+    assert raked.groupby("lang__cell")["weight"].sum().to_dict() == pytest.approx({"x": total / 4, "y": total * 3 / 4}, rel=1e-5)
+    before = raked.groupby("topic__cell")["tokens"].sum()
+    assert raked.groupby("topic__cell")["weight"].sum().to_dict() == pytest.approx(before.to_dict(), rel=1e-5)
     # Raking keeps odds ratios.
-    w = {(r.cell_source, r.cell_lang, r.cell_topic): r.weight / r.tokens for r in raked.itertuples()}
+    w = {tuple(r[c] for c in ("source__cell", "lang__cell", "topic__cell")): r["weight"] / r["tokens"] for r in raked.to_dict("records")}
     assert w["a", "x", "p"] * w["b", "y", "p"] == pytest.approx(w["a", "y", "p"] * w["b", "x", "p"], rel=1e-5)
 
 
