@@ -213,6 +213,18 @@ def panel_cube(tables: CareTables, facts: DataFrame | None = None, exact_scale:
     )
 
 
+def kept_panel_cube(tables: CareTables, cube: DataFrame) -> DataFrame:
+    """As ``panel_cube``, from a kept cube (by codes) instead of the facts."""
+    return (
+        cube.where("n > 0 AND reportingstartdate IS NOT NULL")
+        .join(tables.measurements, "measurecode")
+        .join(tables.reported_measurements, "reportedmeasurecode")
+        .na.drop(subset=MEASURE)
+        .join(_mapped(_directory(tables)), "reportingunitcode")
+        .select(*PANEL, "hospital_name", "reportingstartdate", "total", "n")
+    )
+
+
 def series(cube: DataFrame) -> DataFrame:
     """Mean value per panel and reporting date."""
     value = mean_of(F.sum("total"), F.sum("n"))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caremetrics.functions.membership import key_filter, may_hold, words_for
 from caremetrics.schemas import TABLES
-from caremetrics.session import checkpointed
+from caremetrics.session import work_dir
+from caremetrics.sources.versions import VersionedTable
 
 
 def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -30,13 +35,18 @@ def new_rows(incoming: DataFrame, existing: DataFrame, key: str, within: str | N
     ``within`` names a column that the key determines (the dataset id of an
     item). Its lowest and highest incoming value are looked up first (one row),
     and the stored table is read only in between: as literals they reach the
-    Parquet scan, which skips row groups by their statistics.
+    Parquet scan, which skips row groups by their statistics. Of the keys in
+    between, those that a filter of the incoming keys rules out are dropped before the
+    shuffle. ``incoming`` is read three times for this and should be kept.
     """
     if key not in incoming.columns:
         raise ValueError(f"incoming rows have no key column {key!r}")
     if within is not None:
-        low, high = incoming.agg(F.min(within), F.max(within)).first()
+        low, high, keys = incoming.agg(F.min(within), F.max(within), F.count(key)).first()
         existing = existing.where(F.col(within).between(low, high))
+        words = words_for(keys)
+        if words is not None:
+            existing = existing.where(may_hold(key_filter(incoming, key, words), F.col(key), words))
     unseen = one_row_per_key(incoming, key).join(existing.select(key), key, "left_anti")
     return unseen.select(*incoming.columns)
 
@@ -47,8 +57,13 @@ def append_new(table: str, incoming: DataFrame) -> None:
     spark = incoming.sparkSession
     columns = spec.schema.fieldNames()
     within = spec.bucket_by if spec.bucket_by not in (None, spec.key) else None
-    fresh = new_rows(incoming, spark.table(table), spec.key, within).select(*columns)
-    _write(fresh, table, "append")
+    kept = incoming.persist(StorageLevel.MEMORY_AND_DISK) if within else incoming
+    try:
+        fresh = new_rows(kept, spark.table(table), spec.key, within).select(*columns)
+        _write(fresh, table, "append")
+    finally:
+        if within:
+            kept.unpersist()
 
 
 def _write(rows: DataFrame, table: str, mode: str) -> None:
@@ -71,11 +86,31 @@ def _buckets(spark, table: str) -> int:
 def store_flags(ids: DataFrame) -> None:
     """Write a new version of the ``datasets`` table in which ``ids`` count as stored.
 
-    The version is computed in full and kept before the old one is replaced.
+    The version is written in full beside the old one; then the table is pointed to it,
+    which is one step in the catalogue. Until then, and after a failure, the old one is read.
     """
     spark = ids.sparkSession
-    marked = checkpointed(mark_stored(spark.table("datasets"), ids))
-    _write(marked, "datasets", "overwrite")
+    marked = mark_stored(spark.table("datasets"), ids)
+    folder, name = work_dir(spark, "datasets"), f"datasets_{uuid.uuid4().hex}"
+    column, buckets = TABLES["datasets"].bucket_by, _buckets(spark, "datasets")
+    gathered = marked.repartition(buckets, column).write.format("parquet").option("path", folder)
+    gathered.bucketBy(buckets, column).saveAsTable(name)
+    _point_to(spark, "datasets", folder)
+    spark.sql(f"DROP TABLE {name}")  # files of a table with a path stay
+
+
+def _point_to(spark, table: str, folder: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+
+
+def add_datasets(table: VersionedTable, incoming: DataFrame) -> None:
+    """Add the datasets that a table in versions does not have yet; its own rows stay as they are."""
+
+    def combine(stored: DataFrame, delta: DataFrame) -> DataFrame:
+        return stored.unionByName(new_rows(delta, stored, "datasetid").select(*stored.columns))
+
+    table.merge(incoming.where("datasetid IS NOT NULL"), combine)
 
 
 def mark_stored(datasets: DataFrame, ids: DataFrame) -> DataFrame:

@@ -304,6 +304,10 @@ _TEST_LINES = (
 
 _ITEM_COLUMNS = "datasetid, reportingunitcode, value, caveats, id"
 
+_RANKING = f"""SELECT *, rank() OVER (PARTITION BY {PANEL} ORDER BY mean_value DESC) AS rank FROM (
+  SELECT {PANEL}, hospital_name, {_mean('value')} AS mean_value
+  FROM panels GROUP BY {PANEL}, hospital_name)"""
+
 
 def oracle() -> dict[str, str]:
     panel_where = (
@@ -353,6 +357,28 @@ def oracle() -> dict[str, str]:
             """SELECT datasetid, stored OR datasetid IN (SELECT datasetid FROM info) AS stored
                FROM datasets"""
         ),
+        "rejected_items": _sql(
+            """SELECT 'value' AS reason, datasetid || ',NAT,n/a,' AS record FROM info
+               WHERE reportingunitcode = 'NAT' AND datasetid % 7 = 0
+               UNION ALL
+               SELECT 'dataset id', 'D' || datasetid || ',NAT,,' FROM info
+               WHERE reportingunitcode = 'NAT' AND datasetid % 7 = 0
+               UNION ALL
+               SELECT 'header', datasetid || ',NAT,1,' FROM info
+               WHERE reportingunitcode = 'NAT' AND datasetid % 7 = 0"""
+        ),
+        "pending_after_rejects": _sql(
+            """SELECT datasetid, stored OR (datasetid % 7 <> 0 AND datasetid IN (SELECT datasetid FROM info)) AS stored
+               FROM datasets"""
+        ),
+        "cube_after_appends": _sql(
+            """SELECT measurecode, reportedmeasurecode, reportingunitcode, reportingstartdate,
+                 CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(value) AS n
+               FROM info JOIN datasets USING (datasetid) WHERE stored AND value IS NOT NULL
+               GROUP BY measurecode, reportedmeasurecode, reportingunitcode, reportingstartdate"""
+        ),
+        "series_from_cube": _sql("SELECT * FROM series"),
+        "ranking_from_cube": _sql(_RANKING),
         "storage_overview": _sql(
             """SELECT total, stored, pct, printf('%.2f%%', pct * 100) AS pct_text FROM (
                  SELECT count(*) AS total, count(*) FILTER (stored) AS stored,
@@ -412,11 +438,7 @@ def oracle() -> dict[str, str]:
                 ON a.state = b.state AND a.reportingstartdate = b.reportingstartdate
                 WHERE a.measurename = '{MEASURE}'"""
         ),
-        "hospital_ranking": _sql(
-            f"""SELECT *, rank() OVER (PARTITION BY {PANEL} ORDER BY mean_value DESC) AS rank FROM (
-                  SELECT {PANEL}, hospital_name, {_mean('value')} AS mean_value
-                  FROM panels GROUP BY {PANEL}, hospital_name)"""
-        ),
+        "hospital_ranking": _sql(_RANKING),
         "value_histogram": _sql(
             f"""SELECT {PANEL}, CAST(bins.b AS INTEGER) AS bin, l.lo + bins.b * l.w AS lo,
                   CASE WHEN bins.b = 19 THEN l.hi ELSE l.lo + (bins.b + 1) * l.w END AS hi,

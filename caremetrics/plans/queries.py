@@ -19,6 +19,7 @@ from caremetrics.operators import (
     timeseries,
     upsert,
 )
+from caremetrics.operators.item_store import ItemStore
 from caremetrics.schemas import create_tables
 from caremetrics.session import work_dir
 from caremetrics.sources import feeds, standins
@@ -184,7 +185,7 @@ def daily_ingest(spark, sf_dir):
 
 @_query
 def stream_items_upsert(spark, sf_dir):
-    return stream.read_items_table(spark, _streamed(spark, sf_dir)).drop("epoch")
+    return stream.read_items_table(spark, _streamed(spark, sf_dir))
 
 
 @_query
@@ -193,6 +194,72 @@ def stream_mark_stored(spark, sf_dir):
     return upsert.mark_stored(standins.datasets(spark, sf_dir), ids).select("datasetid", "stored")
 
 
+def _broken_stream(spark, sf_dir):
+    """A stream over good files, broken ones, and files without a header; returns its folder and the datasets it flags.
+
+    Of every seventh dataset the national record has a text for a value; the same
+    datasets are delivered once more with ids that are no numbers, and once without header.
+    """
+    base = work_dir(spark, "broken-stream")
+    seventh = F.col("DataSetId") % 7 == 0
+    national = F.col("ReportingUnitCode") == "NAT"
+    items = standins.items_file(spark, sf_dir)
+    feeds.publish(items.where(~seventh), f"{base}/landing")
+    empty, text = F.lit(None).cast("string"), F.when(national, "n/a")
+    broken = items.where(seventh).withColumns({"Value": text, "Caveats": empty})
+    feeds.publish(broken.repartition("DataSetId"), f"{base}/landing")
+    broken = broken.where(national)
+    feeds.publish(broken.withColumns({"DataSetId": F.concat(F.lit("D"), "DataSetId"), "Value": empty}), f"{base}/landing")
+    broken.withColumn("Value", F.lit("1")).write.mode("append").option("header", "false").csv(f"{base}/landing")
+    flags = stream.datasets_table(spark, f"{base}/datasets", 16)
+    upsert.add_datasets(flags, standins.datasets(spark, sf_dir))
+    stream.run_items_stream(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", 12, flags)
+    return f"{base}/table", flags
+
+
+@_query
+def rejected_items(spark, sf_dir):
+    """Records put aside by the stream, with the reason."""
+    return stream.read_rejected(spark, _broken_stream(spark, sf_dir)[0]).select("reason", "record")
+
+
+@_query
+def pending_after_rejects(spark, sf_dir):
+    """Flags kept by the stream itself: datasets with a rejected record stay as they were."""
+    return _broken_stream(spark, sf_dir)[1].read().select("datasetid", "stored")
+
+
+def _kept_store(spark, sf_dir):
+    """Items of stored datasets and their cube after three overlapping deliveries."""
+    store = ItemStore(spark, work_dir(spark, "kept"), cube_buckets=16, exact_scale=CENTS)
+    items = standins.info(spark, sf_dir).drop("id")
+    stored = standins.datasets(spark, sf_dir).where("stored")
+    for number, part in enumerate(("datasetid % 3 > 0", "datasetid % 5 > 0", "true")):
+        store.add(items.where(part), number)
+        store.refresh_cube(stored)
+    return store
+
+
+@_query
+def cube_after_appends(spark, sf_dir):
+    cube = _kept_store(spark, sf_dir).cube.read()
+    return cube.withColumn("total", F.col("total").cast("double"))
+
+
+@_query
+def series_from_cube(spark, sf_dir):
+    """As ``measure_series``, without a scan of the facts."""
+    kept = _kept_store(spark, sf_dir).cube.read()
+    return measures.series(measures.kept_panel_cube(standins.tables(spark, sf_dir), kept))
+
+
+@_query
+def ranking_from_cube(spark, sf_dir):
+    """As ``hospital_ranking``, without a scan of the facts."""
+    kept = _kept_store(spark, sf_dir).cube.read()
+    return distributions.ranking(measures.kept_panel_cube(standins.tables(spark, sf_dir), kept))
+
+
 # --- measures --------------------------------------------------------------------
 
 

@@ -64,6 +64,68 @@ def stream_items(spark: SparkSession, path: str, files_per_trigger: int, multi_l
     )
 
 
+_RAW_ITEMS = T.StructType([T.StructField(f.name.lower(), T.StringType()) for f in ITEMS_FILE] + [T.StructField("record", T.StringType())])
+
+
+def _raw_items(reader, path: str, multi_line: bool) -> DataFrame:
+    """Every record of the item files as text, header rows among them, with the file it is from."""
+    many = str(multi_line).lower()
+    options = {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "record", "multiLine": many, "escape": '"'}
+    return reader.schema(_RAW_ITEMS).options(**options).csv(path).select("*", F.col("_metadata.file_path").alias("source_file"))
+
+
+def read_raw_items(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return _raw_items(spark.read, path, multi_line)
+
+
+def stream_raw_items(spark: SparkSession, path: str, files_per_trigger: int, multi_line: bool = True) -> DataFrame:
+    return _raw_items(spark.readStream.option("maxFilesPerTrigger", files_per_trigger), path, multi_line)
+
+
+def judged_items(raw: DataFrame) -> DataFrame:
+    """Raw records with their typed columns and, for those that cannot be used, the reason.
+
+    A record is rejected if it has too few or too many columns, a dataset id or a value
+    that is no number, or if its file lacks the header. Nothing is dropped but header rows;
+    nothing fails the job. Files are judged by their name, one row each; ``raw`` should be kept.
+    """
+    names = [f.name for f in ITEMS_FILE]
+    is_header = F.lit(True)
+    for name in names:
+        is_header = is_header & F.col(name.lower()).eqNullSafe(F.lit(name))
+    headless = (
+        raw.groupBy("source_file").agg(F.max(is_header).alias("headed")).where("NOT headed").select("source_file", F.lit(True).alias("headless"))
+    )
+    value, dataset = F.col("value").try_cast("double"), F.col("datasetid").try_cast("long")
+    reason = (
+        F.when(F.col("headless"), "header")
+        .when(F.col("record").isNotNull(), "columns")
+        .when(F.col("datasetid").isNotNull() & dataset.isNull(), "dataset id")
+        .when(F.col("value").isNotNull() & value.isNull(), "value")
+    )
+    text = F.coalesce("record", F.concat_ws(",", *[F.coalesce(n.lower(), F.lit("")) for n in names]))
+    return (
+        raw.where(~is_header)
+        .join(headless, "source_file", "left")
+        .select(dataset.alias("datasetid"), "reportingunitcode", value.alias("value"), "caveats", "source_file", reason.alias("reason"), text.alias("record"))
+    )
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """Items as ``read_items`` gives them."""
+    return judged.where("reason IS NULL").select("datasetid", "reportingunitcode", "value", "caveats")
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    return judged.where("reason IS NOT NULL").select("source_file", "reason", "record")
+
+
+def incomplete_datasets(judged: DataFrame) -> DataFrame:
+    """Ids of datasets with a record in a file of which a record was rejected."""
+    files = judged.where("reason IS NOT NULL").select("source_file").distinct()
+    return judged.join(files, "source_file", "left_semi").where("datasetid IS NOT NULL").select("datasetid").distinct()
+
+
 def named_sheet(
     cells: DataFrame, workbook: str, sheet: str, header_row: int, columns: dict[str, str]
 ) -> DataFrame:

@@ -1,78 +1,94 @@
-"""Items arriving as files: append unseen keys, remember what was written."""
+"""Items arriving as files: unseen ones are stored, bad ones put aside, complete datasets flagged."""
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremetrics.operators.ingest import with_item_id
-from caremetrics.operators.upsert import new_rows
+from caremetrics.operators.item_store import ItemStore
+from caremetrics.operators.upsert import mark_stored
 from caremetrics.schemas import TABLES
-from caremetrics.sources.feeds import stream_items
+from caremetrics.sources import feeds
+from caremetrics.sources.versions import VersionedTable
 
-_EPOCH = T.StructField("epoch", T.LongType())
 _STORED_IDS = T.StructType([T.StructField("datasetid", T.LongType())])
+_REJECTED = "source_file string, reason string, record string, epoch long"
 
 
-def _ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """An empty table, unless there is one."""
-    try:
-        spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        spark.createDataFrame([], schema).write.mode("append").parquet(path)
+def item_store(spark: SparkSession, path: str, **options) -> ItemStore:
+    """The store that the stream below ``path`` writes."""
+    return ItemStore(spark, path, **options)
 
 
 def read_items_table(spark: SparkSession, path: str) -> DataFrame:
-    """The item table written by the stream, with the epoch that wrote each row."""
-    schema = T.StructType([*TABLES["info"].schema, _EPOCH])
-    return spark.read.schema(schema).parquet(f"{path}/items")
+    """The item table written by the stream."""
+    return item_store(spark, path).rows()
+
+
+def stored_ids(spark: SparkSession, path: str, buckets: int = 64) -> VersionedTable:
+    """Ids of datasets of which all records that arrived were stored."""
+    return VersionedTable(spark, f"{path}/stored_ids", _STORED_IDS, ["datasetid"], buckets)
 
 
 def read_stored_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Dataset ids that really have items in the table."""
-    return (
-        spark.read.schema(T.StructType([*_STORED_IDS, _EPOCH]))
-        .parquet(f"{path}/stored_ids")
-        .select("datasetid")
-        .distinct()
-    )
+    return stored_ids(spark, path).read()
+
+
+def datasets_table(spark: SparkSession, path: str, buckets: int = 64) -> VersionedTable:
+    """The catalogue of datasets, whose flags a stream may keep."""
+    return VersionedTable(spark, path, TABLES["datasets"].schema, ["datasetid"], buckets)
 
 
-def ingest_epoch(batch: DataFrame, epoch: int, path: str) -> None:
-    """Write the unseen items of one micro-batch.
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Records that were put aside, with file, reason and epoch."""
+    if not VersionedTable(spark, path, T.StructType([]))._files_in("rejected"):
+        return spark.createDataFrame([], _REJECTED)
+    return spark.read.schema(_REJECTED).parquet(f"{path}/rejected")
 
-    Each micro-batch owns its partition and overwrites it, so running it again
-    after a failure replaces its output instead of adding to it. Rows written by
-    other epochs are the ones compared against.
+
+def ingest_epoch(
+    batch: DataFrame, epoch: int, path: str, writer: str = "stream", datasets: VersionedTable | None = None, store: ItemStore | None = None
+) -> None:
+    """Take in one micro-batch of raw records.
+
+    Every step can be repeated: rejected records overwrite those of the same epoch, and
+    items, ids and flags are versions that count an epoch of a writer once. A dataset with a
+    rejected record in one of its files stays pending; its good items are stored.
     """
     spark = batch.sparkSession
-    others = read_items_table(spark, path).where(F.col("epoch") != epoch)
-    written = f"{path}/items/epoch={epoch}"
-    # Parsed once: the rows are needed for their range of ids and for the write.
-    keyed = with_item_id(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    store = store or item_store(spark, path, with_cube=datasets is not None)
+    raw = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fresh = new_rows(keyed, others, "id", within="datasetid")
-        # Files hold ranges of ids, so that later batches skip those out of theirs.
-        ordered = fresh.select(*TABLES["info"].schema.fieldNames()).repartitionByRange("datasetid")
-        ordered.sortWithinPartitions("datasetid").write.mode("overwrite").parquet(written)
+        judged = feeds.judged_items(raw).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            feeds.rejected(judged).write.mode("overwrite").parquet(f"{path}/rejected/epoch={epoch}")
+            items = feeds.accepted(judged)
+            store.add(items, epoch, writer)
+            complete = items.where("datasetid IS NOT NULL AND reportingunitcode IS NOT NULL").select("datasetid").distinct()
+            complete = complete.join(feeds.incomplete_datasets(judged), "datasetid", "left_anti")
+            stored_ids(spark, path).merge(complete, lambda old, new: old.union(new).distinct(), writer, epoch)
+            if datasets is not None:
+                datasets.merge(complete, mark_stored, writer, epoch)
+                store.refresh_cube(datasets.read())
+        finally:
+            judged.unpersist()
     finally:
-        keyed.unpersist()
-    ids = spark.read.schema(TABLES["info"].schema).parquet(written).select("datasetid").distinct()
-    ids.write.mode("overwrite").parquet(f"{path}/stored_ids/epoch={epoch}")
+        raw.unpersist()
 
 
 def run_items_stream(
-    spark: SparkSession, landing: str, path: str, checkpoint: str, files_per_trigger: int = 1000
+    spark: SparkSession, landing: str, path: str, checkpoint: str, files_per_trigger: int = 1000,
+    datasets: VersionedTable | None = None, store: ItemStore | None = None,
 ) -> None:
-    """Ingest all files that have landed, then stop; a later call continues from there."""
-    _ensure_table(spark, f"{path}/items", TABLES["info"].schema)
-    _ensure_table(spark, f"{path}/stored_ids", _STORED_IDS)
+    """Ingest all files that have landed, then stop; a later call continues from there.
+
+    With ``datasets`` their flags, and the cube of the items, follow every micro-batch.
+    Epochs are counted per checkpoint, which therefore names the writer.
+    """
     query = (
-        stream_items(spark, landing, files_per_trigger)
-        .writeStream.foreachBatch(lambda batch, epoch: ingest_epoch(batch, epoch, path))
+        feeds.stream_raw_items(spark, landing, files_per_trigger)
+        .writeStream.foreachBatch(lambda batch, epoch: ingest_epoch(batch, epoch, path, checkpoint, datasets, store))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

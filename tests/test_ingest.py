@@ -127,7 +127,7 @@ def test_stream_appends_unseen_items_and_survives_redelivery(spark, tmp_path):
     _land(spark, landing, [*first, (2, "H1", None, None), (None, "H9", 3.0, None), (3, None, 1.0, None)])
     stream.run_items_stream(spark, landing, table, ckpt, files_per_trigger=1)
     stream.run_items_stream(spark, landing, table, ckpt)
-    got = stream.read_items_table(spark, table).drop("epoch")
+    got = stream.read_items_table(spark, table)
     expected = [
         (1, "H1", 1.0, None, "1|H1"),
         (1, "NAT", 2.0, "x", "1|NAT"),
@@ -138,12 +138,69 @@ def test_stream_appends_unseen_items_and_survives_redelivery(spark, tmp_path):
     assert rows(stream.read_stored_ids(spark, table)) == [(1,), (2,)]
 
 
-def test_running_a_micro_batch_again_replaces_its_output(spark, tmp_path):
+def _raw(spark, items, name="file:/a.csv"):
+    """Raw records as the stream hands them on."""
+    header = ("DataSetId", "ReportingUnitCode", "Value", "Caveats", None, name)
+    texts = [(*[None if v is None else str(v) for v in i], None, name) for i in items]
+    return spark.createDataFrame([header, *texts], "datasetid string, reportingunitcode string, value string, caveats string, record string, source_file string")
+
+
+def test_a_micro_batch_counts_once(spark, tmp_path):
     landing, table, ckpt = (str(tmp_path / n) for n in ("landing", "table", "ckpt"))
     _land(spark, landing, [(1, "H1", 1.0, None)])
     stream.run_items_stream(spark, landing, table, ckpt)
-    batch = spark.createDataFrame([(1, "H1", 1.0, None), (2, "H2", 2.0, None)], ITEM)
+    batch = _raw(spark, [(1, "H1", 1.0, None), (2, "H2", 2.0, None)])
     for _ in range(3):
         stream.ingest_epoch(batch, 7, table)
-    got = rows(stream.read_items_table(spark, table).select("id", "epoch"))
-    assert got == [("1|H1", 0), ("2|H2", 7)]
+    assert rows(stream.read_items_table(spark, table).select("id")) == [("1|H1",), ("2|H2",)]
+    assert rows(stream.read_stored_ids(spark, table)) == [(1,), (2,)]
+
+
+def test_bad_records_are_put_aside_by_file(spark, tmp_path):
+    landing, table, ckpt = (tmp_path / n for n in ("landing", "table", "ckpt"))
+    landing.mkdir()
+    head = "DataSetId,ReportingUnitCode,Value,Caveats\n"
+    (landing / "good.csv").write_text(head + '1,H1,1.5,"two\nlines, and ""quotes"""\n2,H1,,\n')
+    (landing / "bad.csv").write_text(head + "3,H1,1,\n3,H2,many,\n4,H1\n4,H2,1,x,y\nfive,H1,1,\n")
+    (landing / "bare.csv").write_text("6,H1,1,\n")
+    (landing / "empty.csv").write_text("")
+    flags = stream.datasets_table(spark, str(tmp_path / "datasets"), 4)
+    catalogue = [(day("2020-01-01"), "r", i, "m", f"d{i}", False) for i in range(1, 7)]
+    upsert.add_datasets(flags, spark.createDataFrame(catalogue, TABLES["datasets"].schema))
+    stream.run_items_stream(spark, str(landing), str(table), str(ckpt), datasets=flags)
+    got = rows(stream.read_rejected(spark, str(table)).selectExpr("regexp_extract(source_file, '[a-z]+.csv', 0)", "reason", "record"))
+    assert got == [
+        ("bad.csv", "columns", "4,H1"), ("bad.csv", "columns", "4,H2,1,x,y"), ("bad.csv", "dataset id", "five,H1,1,"),
+        ("bad.csv", "value", "3,H2,many,"), ("bare.csv", "header", "6,H1,1,"),
+    ]
+    items = rows(stream.read_items_table(spark, str(table)))
+    assert items == [(1, "H1", 1.5, 'two\nlines, and "quotes"', "1|H1"), (2, "H1", None, None, "2|H1"), (3, "H1", 1.0, None, "3|H1")]
+    assert rows(flags.read().where("stored").select("datasetid")) == [(1,), (2,)]
+    # A good delivery afterwards completes the dataset.
+    (landing / "again.csv").write_text(head + "3,H1,1,\n3,H2,2,\n")
+    stream.run_items_stream(spark, str(landing), str(table), str(ckpt), datasets=flags)
+    assert rows(flags.read().where("stored").select("datasetid")) == [(1,), (2,), (3,)]
+    assert stream.read_items_table(spark, str(table)).count() == 4
+
+
+def test_a_failed_swap_leaves_the_old_flags_readable(spark, monkeypatch):
+    spark.sql("DROP TABLE IF EXISTS datasets")
+    create_tables(spark, buckets=4)
+    catalogue = [(day("2020-01-01"), "r", i, "m", f"d{i}", False) for i in range(9)]
+    upsert.append_new("datasets", spark.createDataFrame(catalogue, TABLES["datasets"].schema))
+    before = rows(spark.table("datasets"))
+    ids = spark.createDataFrame([(2,), (3,)], "datasetid long")
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(upsert, "_point_to", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            upsert.store_flags(ids)
+    assert rows(spark.table("datasets")) == before
+    upsert.store_flags(ids)
+    assert rows(spark.table("datasets").where("stored").select("datasetid")) == [(2,), (3,)]
+    upsert.append_new("datasets", spark.createDataFrame([(day("2020-01-01"), "r", 77, "m", "d", False)], TABLES["datasets"].schema))
+    assert spark.table("datasets").count() == 10 and len(spark.table("datasets").inputFiles()) >= 4
+    spark.sql("DROP TABLE datasets")
