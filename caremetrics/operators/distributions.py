@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from caremetrics.functions.joins import salted_join, small_side
 from caremetrics.functions.numbers import mean_of
-from caremetrics.functions.ordering import linear_percentiles
+from caremetrics.functions.quantiles import exact_percentiles
 from caremetrics.operators.measures import PANEL
-from caremetrics.session import checkpointed
+from caremetrics.session import checkpointed, stored
 
 # Fixed value: number of histogram bins.
 BINS = 20
@@ -72,21 +72,21 @@ def box(panel_rows: DataFrame) -> DataFrame:
     """Quartiles, whiskers and number of outliers per hospital.
 
     Whiskers are the extreme values within 1.5 interquartile ranges of the box.
-    A hospital of any size is spread over tasks (see ``functions.ordering``).
+    The rows are joined once and stored; a hospital of any size is worked on by all
+    tasks that read its rows (see ``functions.quantiles``).
     """
     keys = [*PANEL, "hospital_name"]
-    values = panel_rows.groupBy(*keys, "value").agg(F.count("*").alias("_rows"))
-    quartiles = linear_percentiles(
-        values, keys, "value", "_rows", {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    )
+    values = stored(panel_rows.select(*keys, F.col("value").cast("double").alias("value")), "box")
+    quartiles = checkpointed(exact_percentiles(values, keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
+    sided = small_side(quartiles)
+    met = values.join(sided, keys) if sided is not quartiles else salted_join(values, quartiles, keys, F.col("value"))
     return (
-        salted_join(values, quartiles, keys, F.col("value"))
-        .groupBy(*keys, "q1", "median", "q3")
+        met.groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("lo_whisker"),
             F.max(F.when(inside, F.col("value"))).alias("hi_whisker"),
-            F.sum(F.when(inside, 0).otherwise(F.col("_rows"))).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
