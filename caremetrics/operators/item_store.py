@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from caremetrics.functions.numbers import total_of
 from caremetrics.operators.ingest import with_item_id
-from caremetrics.operators.upsert import new_rows
+from caremetrics.operators.upsert import new_rows, one_row_per_key
 from caremetrics.schemas import TABLES
 from caremetrics.sources.versions import Version, VersionedTable
 
@@ -31,7 +31,7 @@ from caremetrics.sources.versions import Version, VersionedTable
 FAN = 8
 # Rows of a file, about.
 ROWS_PER_FILE = 10_000_000
-# Ids of a delivery that files are chosen by one by one; of more ids only the range is used.
+# Ids of a delivery, about, that files are chosen by one by one; of more ids only the range is used.
 LISTED_IDS = 20_000
 
 CUBE_KEY = ["measurecode", "reportedmeasurecode", "reportingunitcode", "reportingstartdate"]
@@ -70,8 +70,9 @@ class ItemStore:
         # Read once: the rows are needed for their ids, for the comparison and for the write.
         keyed = with_item_id(items).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            met = self.items.read(self._files_met(keyed, base))
-            fresh = new_rows(keyed, met, "id", within="datasetid").persist(StorageLevel.MEMORY_AND_DISK)
+            met = self._files_met(keyed, base)
+            fresh = new_rows(keyed, self.items.read(met), "id", within="datasetid") if met else one_row_per_key(keyed, "id")
+            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 count = fresh.count()
                 pieces = max(1, -(-count // self.rows_per_file))
@@ -90,13 +91,14 @@ class ItemStore:
 
     def _files_met(self, keyed: DataFrame, base: Version) -> list[dict]:
         """Stored files that may hold an item of the delivery."""
-        ids = keyed.select("datasetid").distinct().sort("datasetid").limit(LISTED_IDS + 1).collect()
-        if not ids:
+        if not base.files:
             return []
-        if len(ids) > LISTED_IDS:
-            low, high = keyed.agg(F.min("datasetid"), F.max("datasetid")).first()
+        low, high, ids = keyed.agg(F.min("datasetid"), F.max("datasetid"), F.approx_count_distinct("datasetid")).first()
+        if low is None:
+            return []
+        if ids > LISTED_IDS:
             return [f for f in base.files if f["lo"] <= high and f["hi"] >= low]
-        values = [r[0] for r in ids]
+        values = sorted(r[0] for r in keyed.select("datasetid").distinct().collect())
         return [f for f in base.files if _holds(values, f["lo"], f["hi"])]
 
     def _compact(self, base: Version) -> Version:
