@@ -15,6 +15,7 @@ from caremetrics.operators import (
     ingest,
     measures,
     models,
+    penalty,
     sheets,
     timeseries,
     upsert,
@@ -551,6 +552,23 @@ def lm_targets(spark, sf_dir):
     return _comparable(models.fit_long(lm_design(spark, sf_dir), DESIGN_FEATURES), "coefficient")
 
 
+@_query
+def lm_targets_chosen(spark, sf_dir):
+    """All eight features of the design, held in check by a penalty chosen by cross-validation."""
+    design = lm_design(spark, sf_dir)
+    features = [c for c in design.columns if c.startswith("x_")]
+    fitted = penalty.fit_chosen(design, features, ["year"])
+    return _comparable(fitted, "strength", "cv_error", "coefficient")
+
+
+@_query
+def lm_penalty_choice(spark, sf_dir):
+    """The chosen strength per target of the line items, and its error on rows left out."""
+    lines = models.long_targets(_training_lines(spark, sf_dir), TARGETS, FEATURES, *LINE_KEY)
+    chosen = penalty.fit_chosen(lines, FEATURES, LINE_KEY).where("feature = '(intercept)'")
+    return _comparable(chosen.select("target", "n", "strength", "cv_error"), "strength", "cv_error")
+
+
 @_query
 def heldout_error(spark, sf_dir):
     fitted = models.fit_targets(_training_lines(spark, sf_dir), TARGETS, FEATURES)
