@@ -37,7 +37,7 @@ MIN_SCORE = 0.2
 _NONE = (1 << 21) - 1  # marks the places that a shorter n-gram leaves free
 _letters: list[np.ndarray] = []
 # N-gram counts kept by a task before they are merged.
-_HELD = 2_000_000
+_HELD = 400_000
 
 
 def _is_letter() -> np.ndarray:
