@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caremetrics.functions.numbers import leading_year, lenient_number
@@ -36,10 +36,11 @@ class Sheet:
 # A year, or two years joined by a dash.
 YEAR_LABEL = "^ *[0-9]{4} *([–-] *[0-9]{2,4} *)?$"
 # Positions of the sheets in use.
-LENGTH_OF_STAY = Sheet("Admitted Patients", "Table 2.9", 4, 9)
+LENGTH_OF_STAY = Sheet("Admitted Patients", "Table 2.9", 3, by_years=False)
 LENGTH_OF_STAY_HEADER = 2
 LENGTH_OF_STAY_SKIPPED = ["Average since 2018–19", "Since 2021–22"]
-LENGTH_OF_STAY_BLOCKS = {"Public": (4, 6), "Private": (7, 9)}
+LENGTH_OF_STAY_BLOCKS = ["Public", "Private"]
+LENGTH_OF_STAY_TITLES = ["Public hospitals", "Private hospitals", "All hospitals"]
 PRICES = Sheet(
     "Expenditure",
     "Table 1",
@@ -76,16 +77,21 @@ GDP = Sheet("Expenditure", "Table 7", 3, None, {"year": 0, "gdp": 4, "ratio": 6}
 FIRST_BUDGET_YEAR = 2011
 
 
+_SHEET = ["workbook", "sheet"]
+
+
 def sheet_body(cells: DataFrame, sheet: Sheet) -> DataFrame:
     """The cells of the body rows of one sheet."""
     here = (F.col("workbook") == sheet.workbook) & (F.col("sheet") == sheet.sheet)
-    body = cells.where(here & (F.col("row_no") >= sheet.first_row)).select("row_no", "col_no", "cell")
+    body = cells.where(here & (F.col("row_no") >= sheet.first_row)).select(*_SHEET, "row_no", "col_no", "cell")
     if sheet.last_row is not None:
         return body.where(F.col("row_no") <= sheet.last_row)
     if not sheet.by_years:
         return body
-    labelled = body.where((F.col("col_no") == 0) & F.col("cell").rlike(YEAR_LABEL))
-    return body.where(F.col("row_no") <= labelled.agg(F.max("row_no")).scalar())
+    # A window over the sheet, which its format bounds, reads it once.
+    label = F.when((F.col("col_no") == 0) & F.col("cell").rlike(YEAR_LABEL), F.col("row_no"))
+    ended = body.withColumn("end", F.max(label).over(Window.partitionBy(*_SHEET)))
+    return ended.where(F.col("row_no") <= F.col("end")).drop("end")
 
 
 def tidy_sheet(cells: DataFrame, sheet: Sheet) -> DataFrame:
@@ -100,11 +106,35 @@ def _long(df: DataFrame, ids: list[str], columns: list[str], name: str, value: s
     return df.unpivot(ids, columns, name, value)
 
 
+def sheet_blocks(body: DataFrame, titles: list[str]) -> DataFrame:
+    """(row_no, label, block_no) of the rows of a body's blocks, numbered from 1.
+
+    A block is a run of rows with a label in their first cell, some of which have more
+    cells: empty rows end it, and a run of labels alone (notes) is none. As the blocks of
+    some sheets follow each other, so does a row with one of ``titles``, or with the label that
+    its run began with. A title without further cells is not a row of its block.
+    The windows run over one sheet, which its format bounds.
+    """
+    filled = F.col("cell").isNotNull() & (F.trim("cell") != "")
+    rows = body.where(filled).groupBy(*_SHEET, "row_no").agg(
+        F.max(F.when(F.col("col_no") == 0, F.col("cell"))).alias("label"), F.max(F.col("col_no") > 0).alias("has_data")
+    )
+    is_title = F.col("label").isin(titles)
+    sheet, in_order = Window.partitionBy(*_SHEET), Window.partitionBy(*_SHEET).orderBy("row_no")
+    cut = F.coalesce(F.col("row_no") - F.lag("row_no").over(in_order) > 1, F.lit(True)) | is_title | F.lag(is_title).over(in_order)
+    runs = rows.where("label IS NOT NULL").withColumn("run", F.sum(cut.cast("int")).over(in_order))
+    first = F.first("label").over(Window.partitionBy(*_SHEET, "run").orderBy("row_no"))
+    blocks = runs.withColumn("again", F.sum((F.col("label") == first).cast("int")).over(Window.partitionBy(*_SHEET, "run").orderBy("row_no")))
+    used = blocks.withColumn("used", F.max("has_data").over(Window.partitionBy(*_SHEET, "run", "again"))).where("used")
+    number = F.dense_rank().over(sheet.orderBy("run", "again"))
+    return used.select("row_no", "label", number.alias("block_no"))
+
+
 def length_of_stay(cells: DataFrame) -> DataFrame:
     """(block, hospital_type, year, days) of both hospital blocks, summary columns left out."""
     spec = LENGTH_OF_STAY
     header_row = Sheet(spec.workbook, spec.sheet, LENGTH_OF_STAY_HEADER, LENGTH_OF_STAY_HEADER)
-    # The header has one row per sheet column and the body six labels: both are
+    # The header has one row per sheet column and the blocks a row per label: both are
     # bounded by the layout of the sheet. Every label gets every year of the
     # header, and the days that the sheet has for them, if any.
     header = (
@@ -114,21 +144,17 @@ def length_of_stay(cells: DataFrame) -> DataFrame:
         .agg(F.max("cell").alias("year"))
     )
     body = sheet_body(cells, spec)
-    labels = (
-        body.where(F.col("col_no") == 0)
-        .groupBy("row_no")
-        .agg(F.max("cell").alias("hospital_type"))
+    names = F.array(*[F.lit(name) for name in LENGTH_OF_STAY_BLOCKS])
+    labels = sheet_blocks(body, LENGTH_OF_STAY_TITLES).where(F.col("block_no") <= len(LENGTH_OF_STAY_BLOCKS)).select(
+        "row_no", F.col("label").alias("hospital_type"), F.get(names, (F.col("block_no") - 1).cast("int")).alias("block")
     )
-    block: Column = F.lit(None)
-    for name, (first, last) in LENGTH_OF_STAY_BLOCKS.items():
-        block = F.when(F.col("row_no").between(first, last), name).otherwise(block)
     years = header.agg(F.collect_list(F.struct("col_no", "year"))).scalar()
-    places = labels.select("row_no", "hospital_type", F.explode(years).alias("head"))
-    places = places.select("row_no", "hospital_type", F.col("head.col_no").alias("col_no"), F.col("head.year").alias("year"))
+    places = labels.select("row_no", "block", "hospital_type", F.explode(years).alias("head"))
+    places = places.select("row_no", "block", "hospital_type", F.col("head.col_no").alias("col_no"), F.col("head.year").alias("year"))
     days = body.where(F.col("col_no") > 0).groupBy("row_no", "col_no").agg(F.max("cell").alias("cell"))
     return (
         places.join(days, ["row_no", "col_no"], "left")
-        .select(block.alias("block"), "hospital_type", "year", lenient_number(F.col("cell")).alias("days"))
+        .select("block", "hospital_type", "year", lenient_number(F.col("cell")).alias("days"))
     )
 
 

@@ -159,3 +159,22 @@ def test_gaps_are_left_out_of_a_series(spark):
     df = spark.createDataFrame(data, "k string, reportingstartdate date, mean_value double")
     assert timeseries.holt(df, ["k"]).count() == 0
     assert isinstance(data[0][1], datetime.date)
+
+
+@pytest.mark.parametrize("sizes", [(3, 3), (4, 5), (5, 4), (1, 2)])
+@pytest.mark.parametrize("between", ["title", "nothing"])
+def test_blocks_of_any_length_come_out_whole(spark, sizes, between):
+    cells = [(0, 0, "Average length of stay"), (2, 1, "2011–12"), (2, 2, "2012–13"), (2, 9, "Since 2021–22"), (3, 0, "Public hospitals")]
+    at, wanted = 4, []
+    for name, size in zip(("Public", "Private"), sizes):
+        for k in range(size):
+            cells += [(at, 0, f"kind {k}"), (at, 1, f"{at}.5"), (at, 9, "1.0")]
+            wanted += [(name, f"kind {k}", "2011–12", at + 0.5), (name, f"kind {k}", "2012–13", None)]
+            at += 1
+        if between == "title" and name == "Public":
+            cells.append((at, 0, "Private hospitals"))
+            at += 1
+    # A third block, and notes, stay out.
+    cells += [(at + 1, 0, "All"), (at + 1, 1, "7.0"), (at + 3, 0, "Note: days are rounded."), (at + 4, 1, "n.a.")]
+    df = spark.createDataFrame([("Admitted Patients", "Table 2.9", r, c, v) for r, c, v in cells], CELLS)
+    assert rows(sheets.length_of_stay(df)) == rows(spark.createDataFrame(wanted, "b string, h string, y string, d double"))
