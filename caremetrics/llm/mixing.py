@@ -67,12 +67,16 @@ TOPICS = {
 def topic_of(text: Column) -> Column:
     """The topic of which most marks occur in the whole text."""
     present = F.coalesce(text, F.lit(""))
-    lowered = F.lower(present)
-    # The earlier of two equal counts is the larger number.
-    ranked = F.greatest(*[
-        sum((F.contains(lowered, F.lit(m)).cast("int") for m in marks), F.lit(0)) * len(TOPICS) + (len(TOPICS) - 1 - k)
-        for k, marks in enumerate(TOPICS.values())
-    ])
+
+    def ranked_marks(lowered: Column) -> Column:
+        # The earlier of two equal counts is the larger number.
+        return F.greatest(*[
+            sum((F.contains(lowered, F.lit(m)).cast("int") for m in marks), F.lit(0)) * len(TOPICS) + (len(TOPICS) - 1 - k)
+            for k, marks in enumerate(TOPICS.values())
+        ])
+
+    # As the variable of a lambda the lower-cased text is made once, not once per mark.
+    ranked = F.transform(F.array(F.lower(present)), ranked_marks)[0]
     names = F.array(*[F.lit(name) for name in reversed(TOPICS)])
     return (
         F.when(~F.rlike(present, F.lit(r"[^\x20\x09-\x0D]")), "none")
