@@ -70,13 +70,37 @@ def _expected(text, items, width=10):
 def test_windows_match_plain_python(spark, odd, monkeypatch):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     wanted = sorted(map(repr, ((i, *_expected(t, ITEMS)) for i, t, _, _ in ODD if i != 7 and i != 8)))
-    for words in (decontamination.SLICE_WORDS, 10):  # one slice, and one per item
-        monkeypatch.setattr(decontamination, "SLICE_WORDS", words)
+    for size, together in ((decontamination.RUN_BYTES, decontamination._TOGETHER), (40, 3)):  # one run a batch, and many
+        monkeypatch.setattr(decontamination, "RUN_BYTES", size)
+        monkeypatch.setattr(decontamination, "_TOGETHER", together)
         found = decontamination.matches(odd, benchmark, ["doc_id"]).where("doc_id IS NULL OR doc_id NOT IN (7, 8)")
         got = found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
         assert sorted(repr(tuple(r)) for r in got) == wanted
 
 
+def test_a_benchmark_as_large_as_the_documents_is_searched_without_collecting_it(spark, monkeypatch):
+    texts = [" ".join(f"w{(d * 7 + k * k) % 53}" for k in range(40)) for d in range(120)]
+    texts += [" ".join(["common"] * 30 + [f"rare{d}"]) for d in range(60)]  # one term holds most places
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    items = [(d, " ".join(t.split()[3:25])) for d, t in enumerate(texts)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(5)
+    monkeypatch.setattr(decontamination, "RUN_BYTES", 2000)
+    monkeypatch.setattr(type(benchmark), "toLocalIterator", None)
+    got = decontamination.matches(docs, benchmark, ["doc_id"])
+    rows = got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+    wanted = [(d, *_expected(t, items)) for d, t in enumerate(texts)]
+    assert sorted(tuple(r) for r in rows) == wanted
+
+
+def test_one_index_serves_several_benchmarks(spark, odd):
+    index = decontamination.build_index(odd, ["doc_id"])
+    for text, ids in ((ITEMS[0][1], {9, 10}), ("the quick brown fox", {4, 5, 6, None}), ("absent words", set())):
+        windows = decontamination.item_windows(spark.createDataFrame([(1, text)], "item_id long, text string"))
+        hits = decontamination.search(index, windows, slop=None).where("n_hit > 0").select("run", "place")
+        documents = index.selectExpr("run", "posexplode(documents) AS (place, document)")
+        assert {r[0] for r in documents.join(hits, ["run", "place"]).select("document.doc_id").collect()} == ids
+
+
 def test_near_windows_are_told_from_phrases(spark):
     docs = spark.createDataFrame([(1, "alpha x beta y gamma"), (2, "alpha beta gamma"), (3, "alpha beta")], "doc_id long, text string")
     benchmark = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
