@@ -17,6 +17,9 @@ PERIOD = 12
 MIN_DECOMPOSE = 24
 MIN_FORECAST = 12
 HORIZON = 12
+# First step and number of rounds of the refinement of weights.
+FIRST_STEP = 0.05
+ROUNDS = 30
 
 
 def decompose(
@@ -64,10 +67,11 @@ def decompose(
     )
 
 
-def _smooth(values: Column, alpha: Column, beta: Column) -> Column:
-    """Level, trend and one-step squared error after running through the values.
+def _smooth(values: Column, alpha: Column, beta: Column, step: Column) -> Column:
+    """Squared one-step error, weights, last level and slope, and the search step handed in.
 
-    Starts from the second value and the first difference.
+    Starts from the second value and the first difference. The result is built where
+    the last state is bound, so that the run over the values is evaluated once.
     """
     start = F.struct(
         values[1].alias("level"),
@@ -75,7 +79,7 @@ def _smooth(values: Column, alpha: Column, beta: Column) -> Column:
         F.lit(0.0).alias("sse"),
     )
 
-    def step(state: Column, y: Column) -> Column:
+    def update(state: Column, y: Column) -> Column:
         # Error-correction form of the two smoothing equations.
         expected = state["level"] + state["slope"]
         error = y - expected
@@ -85,7 +89,41 @@ def _smooth(values: Column, alpha: Column, beta: Column) -> Column:
             (state["sse"] + error * error).alias("sse"),
         )
 
-    return F.aggregate(F.slice(values, 3, F.size(values)), start, step)
+    def fitted(state: Column) -> Column:
+        return F.struct(
+            state["sse"].alias("sse"),
+            alpha.alias("alpha"),
+            beta.alias("beta"),
+            state["level"].alias("level"),
+            state["slope"].alias("slope"),
+            step.alias("step"),
+        )
+
+    return F.aggregate(F.slice(values, 3, F.size(values)), start, update, fitted)
+
+
+def _refined(values: Column, fit: Column, rounds: int) -> Column:
+    """Compass search from a fit: the best of four neighbours, or half the step if none is better.
+
+    A fit competes with its neighbours in every round, so the error never rises.
+    Weights stay between 0 and 1.
+    """
+
+    def within(weight: Column) -> Column:
+        return F.least(F.greatest(weight, F.lit(0.0)), F.lit(1.0))
+
+    def turn(best: Column, _: Column) -> Column:
+        step = best["step"]
+        moves = F.array(
+            *[
+                F.struct(within(best["alpha"] + a * step).alias("alpha"), within(best["beta"] + b * step).alias("beta"))
+                for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1))
+            ]
+        )
+        tries = F.transform(moves, lambda m: _smooth(values, m["alpha"], m["beta"], step))
+        return F.array_min(F.array_append(tries, best.withField("step", step / 2)))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), fit, turn)
 
 
 def holt(
@@ -96,12 +134,13 @@ def holt(
     horizon: int = HORIZON,
     min_n: int = MIN_FORECAST,
     grid: Sequence[float] = tuple(i / 10 for i in range(1, 10)),
+    rounds: int = 0,
 ) -> DataFrame:
     """Forecast with additive-trend exponential smoothing.
 
     The smoothing weights are the pair of grid values with the least one-step
-    squared error. Forecast dates are month ends, the first being that of the
-    last observed month.
+    squared error; with ``rounds`` a compass search refines both from there.
+    Forecast dates are month ends, the first being that of the last observed month.
     """
     if horizon < 1:
         raise ValueError("horizon must be at least one month")
@@ -125,16 +164,11 @@ def holt(
     )
 
     def fit(pair: Column) -> Column:
-        end = _smooth(F.col("_values"), pair["alpha"], pair["beta"])
-        return F.struct(
-            end["sse"].alias("sse"),
-            pair["alpha"].alias("alpha"),
-            pair["beta"].alias("beta"),
-            end["level"].alias("level"),
-            end["slope"].alias("slope"),
-        )
+        return _smooth(F.col("_values"), pair["alpha"], pair["beta"], F.lit(FIRST_STEP))
 
     best = history.withColumn("_fit", F.array_min(F.transform(pairs, fit)))
+    if rounds:
+        best = best.withColumn("_fit", _refined(F.col("_values"), F.col("_fit"), rounds))
     steps = best.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     return steps.select(
         *keys,

@@ -459,6 +459,12 @@ def holt_forecast(spark, sf_dir):
     return _rounded(forecast, 8, "forecast")
 
 
+@_query
+def holt_refined(spark, sf_dir):
+    series = measure_series(spark, sf_dir)
+    return timeseries.holt(series, measures.PANEL, rounds=timeseries.ROUNDS)
+
+
 # --- models --------------------------------------------------------------------------------
 
 

@@ -133,25 +133,54 @@ def test_forecast_continues_a_straight_line_from_the_last_month(spark):
     assert [r["date"] for r in got] == [day("2016-08-31"), day("2016-09-30"), day("2016-10-31")]
 
 
+def _run(y, alpha, beta):
+    level, slope, sse = y[1], y[1] - y[0], 0.0
+    for value in y[2:]:
+        expected = level + slope
+        sse += (value - expected) ** 2
+        new = alpha * value + (1 - alpha) * expected
+        slope = beta * (new - level) + (1 - beta) * slope
+        level = new
+    return sse, level + slope
+
+
+def test_refined_weights_follow_a_compass_search_from_the_grids_best(spark):
+    rng = np.random.default_rng(11)
+    series = {f"s{n}": np.cumsum(rng.normal(size=20 + n)) + 50 for n in range(8)}
+    series["line"] = np.arange(24.0)  # no error at all, and nothing to gain
+    got = {r["k"]: r for r in timeseries.holt(_series(spark, **series), ["k"], horizon=1, rounds=40).collect()}
+    grid = [i / 10 for i in range(1, 10)]
+    gained = 0
+    for name, y in series.items():
+        coarse = best = min((_run(y, a, b)[0], a, b) for a in grid for b in grid)
+        step = timeseries.FIRST_STEP
+        for _ in range(40):
+            _, a, b = best
+            near = [(a + step, b), (a - step, b), (a, b + step), (a, b - step)]
+            near = [tuple(min(max(w, 0.0), 1.0) for w in pair) for pair in near]
+            better = min((_run(y, *pair)[0], *pair) for pair in near)
+            if better < best:
+                best = better
+            else:
+                step /= 2
+        row = got[name]
+        error = _run(y, row["alpha"], row["beta"])[0]
+        assert error <= coarse[0] * (1 + 1e-12)
+        assert error == pytest.approx(best[0], rel=1e-9, abs=1e-12)
+        assert row["forecast"] == pytest.approx(_run(y, row["alpha"], row["beta"])[1], abs=1e-6)
+        gained += error < coarse[0] * (1 - 1e-6)
+    assert gained >= 5
+
+
 def test_forecast_picks_the_best_pair(spark):
     rng = np.random.default_rng(5)
     y = np.cumsum(rng.normal(size=30)) + 20
     got = timeseries.holt(_series(spark, a=y), ["k"], horizon=1).first()
 
-    def run(alpha, beta):
-        level, slope, sse = y[1], y[1] - y[0], 0.0
-        for value in y[2:]:
-            expected = level + slope
-            sse += (value - expected) ** 2
-            new = alpha * value + (1 - alpha) * expected
-            slope = beta * (new - level) + (1 - beta) * slope
-            level = new
-        return sse, level + slope
-
     grid = [i / 10 for i in range(1, 10)]
-    best = min((run(a, b)[0], a, b) for a in grid for b in grid)
+    best = min((_run(y, a, b)[0], a, b) for a in grid for b in grid)
     assert (got["alpha"], got["beta"]) == best[1:]
-    assert got["forecast"] == pytest.approx(run(*best[1:])[1], abs=1e-6)
+    assert got["forecast"] == pytest.approx(_run(y, *best[1:])[1], abs=1e-6)
 
 
 def test_gaps_are_left_out_of_a_series(spark):
