@@ -327,13 +327,13 @@ def search(index: DataFrame, windows: DataFrame, slop: int | None = SLOP) -> Dat
     )
     sent = directory.select("run", "term").join(rarest.select("window", "term"), "term").select("run", "window")
     sent = stored(sent.join(distinct, "window"), "sent-windows")
-    lists = _wanted_lists(index.join(sent.select("run").distinct(), "run", "left_semi"), terms)
-    both = lists.select("*", F.lit(None).cast("long").alias("window")).unionByName(
+    lists = _wanted_lists(index, terms).withColumn("window", F.lit(None).cast("long"))
+    both = lists.unionByName(
         sent.select("run", F.lit(1).alias("kind"), "terms", "window"), allowMissingColumns=True
     )
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = None
+        held, tally = None, None
         for batch in batches:
             runs, kinds = batch.column("run").to_numpy(), batch.column("kind").to_numpy()
             changes = np.flatnonzero((np.diff(runs) != 0) | (np.diff(kinds) != 0)) + 1
@@ -341,14 +341,15 @@ def search(index: DataFrame, windows: DataFrame, slop: int | None = SLOP) -> Dat
                 part = batch.slice(lo, hi - lo)
                 flat, sizes = _flat(part.column("terms"))
                 if kinds[lo] == 1:
+                    tally = tally or _Tally(int(runs[lo]), held, slop)
                     tally.add(part.column("window").to_numpy(), flat, sizes)
                     continue
                 if tally is not None:
                     yield tally.rows()
+                    tally = None
                 counts = part.column("counts").flatten().to_numpy().astype(np.int64)
                 bounds = np.frombuffer(part.column("bounds")[0].as_py(), "<u4").astype(np.int64)
-                postings = Postings(flat, counts, _positions(part.column("positions")[0].as_py()), bounds)
-                tally = _Tally(int(runs[lo]), postings, slop)
+                held = Postings(flat, counts, _positions(part.column("positions")[0].as_py()), bounds)
         if tally is not None:
             yield tally.rows()
 
