@@ -8,12 +8,19 @@ candidate goes on only if its prefixes share a shingle in each of them and do
 not already differ in more shingles than the similarity allows. The rest is
 verified on the full sets. Sets of equal digest are one class from the start.
 
+Every set also has a parity sketch: each shingle flips one of 512 bits. Shingles
+that two sets have in common cancel out, so the bits in which two sketches
+differ never outnumber the shingles in which the sets do, and a pair whose
+sketches differ more than the similarity allows cannot link. This is a
+condition of the join that makes candidates, so such pairs never become rows.
+
 Links between classes are found without listing all pairs of a group. First
 every member of a posting list is verified against a few pivots of the list;
 links give components. Pairs inside one component are settled by that. Then, and
 for lists that still hold several components only, every pair across components
-is generated, filtered and verified. So every link that joins two components is
-found, whatever the size of the list, and the components are exact.
+is compared, filtered and verified. So every link that joins two components is
+found, whatever the size of the list, and the components are exact. Long lists are
+split: a part of a list meets the whole list in a task of its own.
 
 Verification streams: candidates of a pivot are dealt over several tasks, each
 of which reads the pivot's set once and its members one at a time.
@@ -46,6 +53,10 @@ SLOTS = 1 << 16
 SHARE = 500
 # Sets of more shingles than this keep 32 bits of the ordering hashes, others 16.
 WIDE = 1 << 14
+# Words of 64 bits of a parity sketch.
+SKETCH = 8
+# Members of a posting list that meet the whole list in one task.
+PART = 1000
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -139,19 +150,26 @@ def _allowed(a: bytes, b: bytes, n: int, other_n: int, most: int) -> bool:
     return len(common) > 0 and (x < cut).sum() + (y < cut).sum() - 2 * shared <= most
 
 
+def _parities(found: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set: bit ``j`` tells whether an odd number of shingles falls on ``j``."""
+    bits = np.bincount((mix(found) >> np.uint64(32)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 _SIGNATURE = [
     T.StructField("n", T.LongType()),
     T.StructField("digest", T.StringType()),
     T.StructField("prefix", T.ArrayType(T.LongType())),
     T.StructField("second", T.BinaryType()),
     T.StructField("third", T.BinaryType()),
+    T.StructField("sketch", T.ArrayType(T.LongType())),
 ]
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: Threshold) -> DataFrame:
-    """Per document: set size, digest, prefix under order 1, and under orders 2 and 3.
+    """Per document: set size, digest, prefix under order 1, under orders 2 and 3, and parity sketch.
 
-    The latter are leading bits of the ordering hash; two shingles that agree in
+    Prefixes 2 and 3 are leading bits of the ordering hash; two shingles that agree in
     them count as the same, which only weakens the filter.
     """
     counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, text_col, width))
@@ -163,13 +181,13 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, thresho
         rarity = counts.value[(found & np.uint64(SLOTS - 1)).astype(np.int64)]
         first = found[np.lexsort((found, rarity))[:p]]
         others = [_leading(found, o, p) for o in _ORDERS]
-        return n, hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest(), first.view(np.int64), *others
+        return n, hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest(), first.view(np.int64), *others, _parities(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in pieces(batch, text_col):
                 columns = list(zip(*[row(found) for found in _sets(data, offsets, width)]))
-                arrays = [pa.array(c, f) for c, f in zip(columns, (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary(), pa.binary()))]
+                arrays = [pa.array(c, f) for c, f in zip(columns, (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64())))]
                 yield pa.RecordBatch.from_arrays([part.column("id"), *arrays], ["id", *[f.name for f in _SIGNATURE]])
 
     return needed.mapInArrow(run, T.StructType([T.StructField("id", T.LongType()), *_SIGNATURE]))
@@ -191,6 +209,20 @@ def _lengths_fit(threshold: Threshold, a: str = "n", b: str = "other_n"):
     return (F.col(a) * 100 >= F.col(b) * threshold.percent) & (F.col(b) * 100 >= F.col(a) * threshold.percent)
 
 
+def _most(threshold: Threshold):
+    """``Threshold.difference`` of the columns ``n`` and ``other_n``."""
+    both = F.col("n") + F.col("other_n")
+    return both - 2 * F.ceil(both * threshold.percent / (100 + threshold.percent))
+
+
+def _sketches_fit(threshold: Threshold):
+    """Whether two sketches differ in no more bits than the sets may differ in shingles."""
+    differ = F.lit(0)
+    for i in range(SKETCH):
+        differ = differ + F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i]))
+    return differ <= _most(threshold)
+
+
 def _star_pairs(postings: DataFrame, threshold: Threshold) -> DataFrame:
     """Members of a posting list with two pivots of their band."""
     scrambled = F.xxhash64("id")
@@ -206,37 +238,38 @@ def _star_pairs(postings: DataFrame, threshold: Threshold) -> DataFrame:
     return pairs.where((F.col("id") != F.col("other")) & _lengths_fit(threshold)).select("id", "other").distinct()
 
 
-def _cross_pairs(postings: DataFrame, labels: DataFrame, threshold: Threshold) -> DataFrame:
-    """All pairs of a posting list that lie in different components.
+def _cross_pairs(postings: DataFrame, labels: DataFrame, sketches: DataFrame, threshold: Threshold) -> DataFrame:
+    """All pairs of a posting list that lie in different components and whose sketches fit.
 
     Up to the last shared token of the two prefixes, both sets are known in full:
     what they do not share there must not exceed the difference that the similarity
     allows (positional filter).
     """
     placed = postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = placed.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
-    left = placed.join(mixed.select("token"), "token", "left_semi")
-    right = left.select(
-        "token",
-        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-        *[F.col(c).alias(f"other_{c}") for c in ("id", "n", "place", "label")],
+    parts = F.ceil(F.count("*") / PART).cast("int").alias("parts")
+    mixed = placed.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b"), parts).where("a < b")
+    listed = placed.join(mixed.select("token", "parts"), "token").join(sketches, ["id", "n"])
+    left = listed.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    near = F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)
+    right = listed.withColumn("band", F.explode(near)).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    right = right.select("token", "band", "part", *[F.col(c).alias(f"other_{c}") for c in ("id", "n", "place", "label", "sketch")])
+    pairs = left.join(right, ["token", "band", "part"]).where(
+        (F.col("id") > F.col("other_id"))
+        & (F.col("label") != F.col("other_label"))
+        & _lengths_fit(threshold)
+        & _sketches_fit(threshold)
     )
-    pairs = left.join(right, ["token", "band"]).where(
-        (F.col("id") > F.col("other_id")) & (F.col("label") != F.col("other_label")) & _lengths_fit(threshold)
-    )
-    both = F.col("n") + F.col("other_n")
-    needed = F.ceil(both * threshold.percent / (100 + threshold.percent))
-    seen = pairs.groupBy("id", F.col("other_id").alias("other"), (both - 2 * needed).alias("most")).agg(
+    seen = pairs.groupBy("id", F.col("other_id").alias("other"), _most(threshold).alias("most")).agg(
         F.max(F.col("place") + F.col("other_place") + 2).alias("known"), F.count("*").alias("shared")
     )
     return seen.where("known - 2 * shared <= most").select("id", "other")
 
 
 def _agree(pairs: DataFrame, signatures: DataFrame, threshold: Threshold) -> DataFrame:
-    """Pairs whose prefixes under orders 2 and 3 allow the similarity."""
-    mine = signatures.where("n > 0").select("id", "n", "second", "third")
+    """Pairs whose sketches, and prefixes under orders 2 and 3, allow the similarity."""
+    mine = signatures.where("n > 0").select("id", "n", "second", "third", "sketch")
     other = signatures.select(*[F.col(c).alias("other" if c == "id" else f"other_{c}") for c in mine.columns])
-    joined = pairs.join(mine, "id").join(other, "other")
+    joined = pairs.join(mine, "id").join(other, "other").where(_sketches_fit(threshold)).drop("sketch", "other_sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,7 +354,7 @@ def similar_documents(
 
     near = _links(docs, _star_pairs(postings, threshold), stored, threshold, id_col, text_col, width)
     labels = connected(near.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    crossing = _cross_pairs(postings, labels, threshold)
+    crossing = _cross_pairs(postings, labels, stored.where("n > 0").select(F.col("n").cast("int"), "id", "sketch"), threshold)
     far = _links(docs, crossing, stored, threshold, id_col, text_col, width)
     edges = labels.select(F.col("id").alias("a"), F.col("label").alias("b")).union(far.select("id", "other"))
     labels = connected(edges)

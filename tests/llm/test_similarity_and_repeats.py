@@ -156,3 +156,37 @@ def test_planted_passages_at_any_offset(spark, window):
 
 def test_repeats_of_an_empty_table(nothing):
     assert substring_dedup.remove_repeats(nothing).count() == 0
+
+
+def test_parity_sketches_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(11)
+    for n in (1, 12, 200, 3_000):
+        pool = np.unique(rng.integers(0, 2**63, 3 * n).astype(np.uint64))
+        rng.shuffle(pool)
+        for moved in {0, 1, n // 10, n // 2, n}:
+            a, b = np.sort(pool[:n]), np.sort(pool[moved : n + moved])
+            bits = sum(int(x).bit_count() for x in (ngram_join._parities(a) ^ ngram_join._parities(b)).view(np.uint64))
+            assert bits <= len(np.setxor1d(a, b))
+            assert (bits == 0) == (moved == 0)
+
+
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
+def test_large_group_of_loose_copies_makes_few_candidates(spark, monkeypatch, width, percent):
+    """Copies of one text that mostly do not link: lists are split, and pairs too far apart are no rows."""
+    monkeypatch.setattr(ngram_join, "PART", 16)
+    made, agree = [], ngram_join._agree
+    monkeypatch.setattr(ngram_join, "_agree", lambda pairs, *rest: made.append(pairs.count()) or agree(pairs, *rest))
+    random.seed(3)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(120):
+        words = list(base)
+        for at in random.sample(range(len(words)), 1 if i % 10 == 0 else 14):
+            words[at] = f"v{i} {at}"
+        docs.append((i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    got = ngram_join.similar_documents(df, width=width, percent=percent).collect()
+    expected = _components(docs, width, percent)
+    assert {r["doc_id"]: r["component_id"] for r in got} == expected
+    assert 1 < len(set(expected.values())) < len(docs)
+    assert made[-1] < len(docs) * 10
