@@ -11,8 +11,9 @@ verified on the full sets. Sets of equal digest are one class from the start.
 Every set also has a parity sketch: each shingle flips one of 512 bits. Shingles
 that two sets have in common cancel out, so the bits in which two sketches
 differ never outnumber the shingles in which the sets do, and a pair whose
-sketches differ more than the similarity allows cannot link. This is a
-condition of the join that makes candidates, so such pairs never become rows.
+sketches differ more than the similarity allows cannot link. With sketches folded
+to 128 bits this is a condition of the join that makes candidates across
+components, so most such pairs never become rows; then whole sketches are compared.
 
 Links between classes are found without listing all pairs of a group. First
 every member of a posting list is verified against a few pivots of the list;
@@ -55,6 +56,8 @@ SHARE = 500
 WIDE = 1 << 14
 # Words of 64 bits of a parity sketch.
 SKETCH = 8
+# Words to which sketches are folded where they travel with every posting.
+FOLDED = 2
 # Members of a posting list that meet the whole list in one task.
 PART = 1000
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -215,14 +218,25 @@ def _most(threshold: Threshold):
     return both - 2 * F.ceil(both * threshold.percent / (100 + threshold.percent))
 
 
-def _sketches_fit(threshold: Threshold):
+def _sketches_fit(threshold: Threshold, words: int = SKETCH):
     """Whether two sketches differ in no more bits than the sets may differ in shingles."""
     differ = F.lit(0)
-    for i in range(SKETCH):
+    for i in range(words):
         differ = differ + F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i]))
     return differ <= _most(threshold)
 
 
+def _folded(words: int):
+    """The parity sketch of the same set in fewer words: words laid on one another cancel like shingles."""
+    kept = []
+    for i in range(words):
+        word = F.col("sketch")[i]
+        for j in range(i + words, SKETCH, words):
+            word = word.bitwiseXOR(F.col("sketch")[j])
+        kept.append(word)
+    return F.array(*kept)
+
+
 def _star_pairs(postings: DataFrame, threshold: Threshold) -> DataFrame:
     """Members of a posting list with two pivots of their band."""
     scrambled = F.xxhash64("id")
@@ -243,21 +257,22 @@ def _cross_pairs(postings: DataFrame, labels: DataFrame, sketches: DataFrame, th
 
     Up to the last shared token of the two prefixes, both sets are known in full:
     what they do not share there must not exceed the difference that the similarity
-    allows (positional filter).
+    allows (positional filter). The smaller set of a pair (of equal ones, that of the
+    smaller id) meets larger ones of its own band and of the next.
     """
     placed = postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     parts = F.ceil(F.count("*") / PART).cast("int").alias("parts")
     mixed = placed.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b"), parts).where("a < b")
     listed = placed.join(mixed.select("token", "parts"), "token").join(sketches, ["id", "n"])
-    left = listed.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    near = F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)
+    left = listed.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+    near = F.array(F.col("band") - 1, F.col("band"))
     right = listed.withColumn("band", F.explode(near)).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     right = right.select("token", "band", "part", *[F.col(c).alias(f"other_{c}") for c in ("id", "n", "place", "label", "sketch")])
     pairs = left.join(right, ["token", "band", "part"]).where(
-        (F.col("id") > F.col("other_id"))
+        ((F.col("n") < F.col("other_n")) | ((F.col("n") == F.col("other_n")) & (F.col("id") < F.col("other_id"))))
         & (F.col("label") != F.col("other_label"))
         & _lengths_fit(threshold)
-        & _sketches_fit(threshold)
+        & _sketches_fit(threshold, FOLDED)
     )
     seen = pairs.groupBy("id", F.col("other_id").alias("other"), _most(threshold).alias("most")).agg(
         F.max(F.col("place") + F.col("other_place") + 2).alias("known"), F.count("*").alias("shared")
@@ -354,7 +369,8 @@ def similar_documents(
 
     near = _links(docs, _star_pairs(postings, threshold), stored, threshold, id_col, text_col, width)
     labels = connected(near.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    crossing = _cross_pairs(postings, labels, stored.where("n > 0").select(F.col("n").cast("int"), "id", "sketch"), threshold)
+    folded = stored.where("n > 0").select("id", F.col("n").cast("int").alias("n"), _folded(FOLDED).alias("sketch"))
+    crossing = _cross_pairs(postings, labels, folded, threshold)
     far = _links(docs, crossing, stored, threshold, id_col, text_col, width)
     edges = labels.select(F.col("id").alias("a"), F.col("label").alias("b")).union(far.select("id", "other"))
     labels = connected(edges)
