@@ -87,7 +87,8 @@ def judged_items(raw: DataFrame) -> DataFrame:
 
     A record is rejected if it has too few or too many columns, a dataset id or a value
     that is no number, or if its file lacks the header. Nothing is dropped but header rows;
-    nothing fails the job. Files are judged by their name, one row each; ``raw`` should be kept.
+    nothing fails the job. Files are judged by their name, one row each, and those without header
+    are sent to the records, so that no task gets a whole file; ``raw`` should be kept.
     """
     names = [f.name for f in ITEMS_FILE]
     is_header = F.lit(True)
@@ -106,7 +107,7 @@ def judged_items(raw: DataFrame) -> DataFrame:
     text = F.coalesce("record", F.concat_ws(",", *[F.coalesce(n.lower(), F.lit("")) for n in names]))
     return (
         raw.where(~is_header)
-        .join(headless, "source_file", "left")
+        .join(F.broadcast(headless), "source_file", "left")
         .select(dataset.alias("datasetid"), "reportingunitcode", value.alias("value"), "caveats", "source_file", reason.alias("reason"), text.alias("record"))
     )
 
@@ -123,7 +124,7 @@ def rejected(judged: DataFrame) -> DataFrame:
 def incomplete_datasets(judged: DataFrame) -> DataFrame:
     """Ids of datasets with a record in a file of which a record was rejected."""
     files = judged.where("reason IS NOT NULL").select("source_file").distinct()
-    return judged.join(files, "source_file", "left_semi").where("datasetid IS NOT NULL").select("datasetid").distinct()
+    return judged.join(F.broadcast(files), "source_file", "left_semi").where("datasetid IS NOT NULL").select("datasetid").distinct()
 
 
 def named_sheet(

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from caremetrics.schemas import CELLS
+from caremetrics.schemas import ITEMS_FILE
 from caremetrics.sources import feeds
 from caremetrics.sources.literals import literal_rows
 from caremetrics.sources.tables import fetch, jdbc_options
@@ -97,3 +98,14 @@ def test_jdbc_scan_is_split():
     assert options["user"] == "u"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "info", "d.Driver", "datasetid")
+
+
+def test_judging_files_moves_no_records(spark, tmp_path, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    landing = str(tmp_path / "landing")
+    items = spark.createDataFrame([(i, "H1", float(i), None) for i in range(50)], ITEMS_FILE)
+    feeds.publish(items, landing)
+    judged = feeds.judged_items(feeds.read_raw_items(spark, landing))
+    assert judged.count() == 50
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
