@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys per 64-bit word, and the most words (4 MB). Of more keys no filter is made.
+# Keys per 64-bit word, and the most words (32 MB). Of more keys no filter is made.
 KEYS_PER_WORD = 4
-MAX_WORDS = 1 << 19
+MAX_WORDS = 1 << 22
 
 
 def words_for(keys: int) -> int | None:

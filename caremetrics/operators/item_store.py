@@ -7,8 +7,9 @@ grows with the logarithm of the deliveries. A delivery is compared only with fil
 in each run at most one file per id, unless an id fills several.
 
 The cube has total and count of the values by measure, reported measure, unit and
-date, in buckets of measure and date. The unseen items of a delivery are summed first and
-then added to the buckets that they fall into; nothing else is read. Deliveries are numbered by their
+date, in buckets of measure and date. The unseen items of a delivery are summed and written beside
+the sums of earlier ones, which are added up when the cube is read and, level by level, once a bucket
+has ``FAN`` of them; nothing else is read. Deliveries are numbered by their
 writer and count once, so a run that failed at any point can be repeated.
 """
 
@@ -25,12 +26,14 @@ from caremetrics.functions.numbers import total_of
 from caremetrics.operators.ingest import with_item_id
 from caremetrics.operators.upsert import new_rows, one_row_per_key
 from caremetrics.schemas import TABLES
-from caremetrics.sources.versions import Version, VersionedTable
+from caremetrics.sources.versions import LevelledTable, Version, VersionedTable
 
 # Runs of a level that are merged into one of the next.
 FAN = 8
 # Rows of a file, about.
 ROWS_PER_FILE = 10_000_000
+# Rows that are worth a task of their own when a run is written.
+ROWS_PER_TASK = 1_000_000
 # Ids of a delivery, about, that files are chosen by one by one; of more ids only the range is used.
 LISTED_IDS = 20_000
 
@@ -54,8 +57,8 @@ class ItemStore:
         fan: int = FAN, rows_per_file: int = ROWS_PER_FILE, with_cube: bool = True,
     ):
         self.items = VersionedTable(spark, f"{root}/items", TABLES["info"].schema)
-        self.cube = VersionedTable(
-            spark, f"{root}/cube", cube_schema(exact_scale), ["measurecode", "reportedmeasurecode", "reportingstartdate"], cube_buckets
+        self.cube = LevelledTable(
+            spark, f"{root}/cube", cube_schema(exact_scale), ["measurecode", "reportedmeasurecode", "reportingstartdate"], cube_buckets, _added, fan
         )
         self.exact_scale, self.fan, self.rows_per_file, self.with_cube = exact_scale, fan, rows_per_file, with_cube
 
@@ -67,16 +70,14 @@ class ItemStore:
         base = self.items.version()
         if number <= base.done.get(writer, -1):
             return False
-        # Read once: the rows are needed for their ids, for the comparison and for the write.
-        keyed = with_item_id(items).persist(StorageLevel.MEMORY_AND_DISK)
+        # Copies are merged as the delivery is read; what is left is looked up, compared and written.
+        keyed = one_row_per_key(with_item_id(items), "id").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             met = self._files_met(keyed, base)
-            fresh = new_rows(keyed, self.items.read(met), "id", within="datasetid") if met else one_row_per_key(keyed, "id")
-            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+            fresh = new_rows(keyed, self.items.read(met), "id", within="datasetid").persist(StorageLevel.MEMORY_AND_DISK) if met else keyed
             try:
                 count = fresh.count()
-                pieces = max(1, -(-count // self.rows_per_file))
-                files = self.items.write_sorted(fresh, ["datasetid", "id"], pieces, 0) if count else []
+                files = self.items.write_sorted(fresh, ["datasetid", "id"], self._pieces(count), 0) if count else []
             finally:
                 fresh.unpersist()
         finally:
@@ -89,6 +90,11 @@ class ItemStore:
         self._compact(self.items.commit(base, [*base.files, *files], {writer: number}, log))
         return True
 
+    def _pieces(self, count: int) -> int:
+        """Files of a run: as many as its rows need, and as tasks can run at once if each gets enough rows."""
+        tasks = min(self.items.spark.sparkContext.defaultParallelism, count // ROWS_PER_TASK)
+        return max(1, tasks, -(-count // self.rows_per_file))
+
     def _files_met(self, keyed: DataFrame, base: Version) -> list[dict]:
         """Stored files that may hold an item of the delivery."""
         if not base.files:
@@ -109,7 +115,7 @@ class ItemStore:
             if not here and level >= max((f["level"] for f in base.files), default=0):
                 return base
             if len({f["run"] for f in here}) >= self.fan:
-                pieces = max(1, -(-sum(f["rows"] for f in here) // self.rows_per_file))
+                pieces = self._pieces(sum(f["rows"] for f in here))
                 merged = self.items.write_sorted(self.items.read(here), ["datasetid", "id"], pieces, level + 1)
                 others = [f for f in base.files if f["level"] != level]
                 base = self.items.commit(base, [*others, *merged])
@@ -123,7 +129,7 @@ class ItemStore:
         """
         for entry in self.items.version().log:
             delta = delta_cube(self.items.read(entry["files"]), datasets, self.exact_scale)
-            self.cube.merge(delta, _added, entry["writer"], entry["number"])
+            self.cube.add(delta, entry["writer"], entry["number"])
 
 
 def _holds(values: list[int], low: int, high: int) -> bool:
@@ -141,6 +147,6 @@ def delta_cube(items: DataFrame, datasets: DataFrame, exact_scale: int | None =
     return sums.select(*CUBE_KEY, F.col("total").cast(cube_schema(exact_scale)["total"].dataType).alias("total"), "n")
 
 
-def _added(stored: DataFrame, delta: DataFrame) -> DataFrame:
-    total = F.sum("total").cast(delta.schema["total"].dataType).alias("total")
-    return stored.union(delta).groupBy(*CUBE_KEY).agg(total, F.sum("n").alias("n"))
+def _added(sums: DataFrame) -> DataFrame:
+    total = F.sum("total").cast(sums.schema["total"].dataType).alias("total")
+    return sums.groupBy(*CUBE_KEY).agg(total, F.sum("n").alias("n"))

@@ -22,6 +22,7 @@ from caremetrics.operators import (
 )
 from caremetrics.operators.item_store import ItemStore
 from caremetrics.schemas import create_tables
+from caremetrics.session import stored as stored_rows
 from caremetrics.session import work_dir
 from caremetrics.sources import feeds, standins
 from caremetrics.sources.literals import literal_rows
@@ -233,7 +234,7 @@ def pending_after_rejects(spark, sf_dir):
 def _kept_store(spark, sf_dir):
     """Items of stored datasets and their cube after three overlapping deliveries."""
     store = ItemStore(spark, work_dir(spark, "kept"), cube_buckets=16, exact_scale=CENTS)
-    items = standins.info(spark, sf_dir).drop("id")
+    items = stored_rows(standins.info(spark, sf_dir).drop("id"))  # delivered three times
     stored = standins.datasets(spark, sf_dir).where("stored")
     for number, part in enumerate(("datasetid % 3 > 0", "datasetid % 5 > 0", "true")):
         store.add(items.where(part), number)

@@ -7,6 +7,9 @@ between; files that no version names are rubbish until ``vacuum``. A file is nev
 The list of files must fit the driver; files should have hundreds of megabytes.
 
 There is one writer at a time: a second one that started from the same version is refused.
+
+A ``LevelledTable`` holds rows that combine, such as sums: what comes is written beside what
+is stored, and combined when it is read, so a delivery costs what it brings.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,8 +141,61 @@ class VersionedTable:
         base = self.version()
         if number is not None and number <= base.done.get(writer, -1):
             return base
-        touched = {r[0] for r in delta.select(self.bucket().alias("b")).distinct().collect()}
-        old = [f for f in base.files if f["bucket"] in touched]
-        files = self.write_buckets(combine(self.read(old), delta)) if touched else []
+        delta = delta.persist(StorageLevel.MEMORY_AND_DISK)  # asked for its buckets, then combined
+        try:
+            touched = {r[0] for r in delta.select(self.bucket().alias("b")).distinct().collect()}
+            old = [f for f in base.files if f["bucket"] in touched]
+            files = self.write_buckets(combine(self.read(old), delta)) if touched else []
+        finally:
+            delta.unpersist()
         kept = [f for f in base.files if f["bucket"] not in touched]
         return self.commit(base, [*kept, *files], None if number is None else {writer: number})
+
+
+class LevelledTable(VersionedTable):
+    """A bucketed table of rows that ``combine`` (sums, distinct values), in any order and any number of times.
+
+    Every delta is a file of level 0 in each bucket it has rows in. Once ``fan`` files of a
+    level have come together in a bucket, they are combined into one of the next, so a row
+    is rewritten a number of times that grows with the logarithm of the deltas.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType, bucket_by: Iterable[str], buckets: int,
+        combine: Callable[[DataFrame], DataFrame], fan: int = 8,
+    ):
+        super().__init__(spark, root, schema, bucket_by, buckets)
+        self.combine, self.fan = combine, fan
+
+    def read(self, files: Iterable[dict] | None = None) -> DataFrame:
+        """The combined rows of the given files, or of the current version."""
+        held = list(self.version().files if files is None else files)
+        stored = super().read(held)
+        return stored if len({f["bucket"] for f in held}) == len(held) else self.combine(stored)
+
+    def add(self, delta: DataFrame, writer: str = "", number: int | None = None) -> Version:
+        """Take in combined rows; a numbered delta of a writer counts once, however often it comes."""
+        base = self.version()
+        if number is not None and number <= base.done.get(writer, -1):
+            return base
+        files = [{**f, "level": 0} for f in self.write_buckets(delta)]
+        return self._compact(self.commit(base, [*base.files, *files], None if number is None else {writer: number}))
+
+    def _compact(self, base: Version) -> Version:
+        """Combine full levels of buckets, lowest first."""
+        level = 0
+        while level <= max((_level(f) for f in base.files), default=-1):
+            here: dict[int, list[dict]] = {}
+            for f in base.files:
+                if _level(f) == level:
+                    here.setdefault(f["bucket"], []).append(f)
+            full = [f for held in here.values() if len(held) >= self.fan for f in held]
+            if full:
+                merged = [{**f, "level": level + 1} for f in self.write_buckets(self.read(full))]
+                base = self.commit(base, [*(f for f in base.files if f not in full), *merged])
+            level += 1
+        return base
+
+
+def _level(file: dict) -> int:
+    return file.get("level", 0)

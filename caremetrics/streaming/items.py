@@ -10,7 +10,7 @@ from caremetrics.operators.item_store import ItemStore
 from caremetrics.operators.upsert import mark_stored
 from caremetrics.schemas import TABLES
 from caremetrics.sources import feeds
-from caremetrics.sources.versions import VersionedTable
+from caremetrics.sources.versions import LevelledTable, VersionedTable
 
 _STORED_IDS = T.StructType([T.StructField("datasetid", T.LongType())])
 _REJECTED = "source_file string, reason string, record string, epoch long"
@@ -26,9 +26,9 @@ def read_items_table(spark: SparkSession, path: str) -> DataFrame:
     return item_store(spark, path).rows()
 
 
-def stored_ids(spark: SparkSession, path: str, buckets: int = 64) -> VersionedTable:
+def stored_ids(spark: SparkSession, path: str, buckets: int = 64) -> LevelledTable:
     """Ids of datasets of which all records that arrived were stored."""
-    return VersionedTable(spark, f"{path}/stored_ids", _STORED_IDS, ["datasetid"], buckets)
+    return LevelledTable(spark, f"{path}/stored_ids", _STORED_IDS, ["datasetid"], buckets, DataFrame.distinct)
 
 
 def read_stored_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -67,10 +67,14 @@ def ingest_epoch(
             store.add(items, epoch, writer)
             complete = items.where("datasetid IS NOT NULL AND reportingunitcode IS NOT NULL").select("datasetid").distinct()
             complete = complete.join(feeds.incomplete_datasets(judged), "datasetid", "left_anti")
-            stored_ids(spark, path).merge(complete, lambda old, new: old.union(new).distinct(), writer, epoch)
-            if datasets is not None:
-                datasets.merge(complete, mark_stored, writer, epoch)
-                store.refresh_cube(datasets.read())
+            complete = complete.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                stored_ids(spark, path).add(complete, writer, epoch)
+                if datasets is not None:
+                    datasets.merge(complete, mark_stored, writer, epoch)
+                    store.refresh_cube(datasets.read())
+            finally:
+                complete.unpersist()
         finally:
             judged.unpersist()
     finally:

@@ -3,12 +3,13 @@
 import datetime
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremetrics.functions import membership
 from caremetrics.operators import item_store, upsert
 from caremetrics.operators.item_store import ItemStore
-from caremetrics.sources.versions import VersionedTable
+from caremetrics.sources.versions import LevelledTable, VersionedTable
 from tests.conftest import day, rows, rows_scanned
 
 ITEM = "datasetid long, reportingunitcode string, value double, caveats string"
@@ -181,3 +182,34 @@ def test_the_filter_spares_the_stored_side_its_shuffle(spark, tmp_path, with_con
     assert rows(got.select("datasetid", "id")) == rows(plain.select("datasetid", "id"))
     assert _shuffled(upsert.new_rows(incoming, stored, "id", within="datasetid")) < 4_000 < 40_000 <= _shuffled(upsert.new_rows(incoming, stored, "id"))
     assert rows_scanned(got) >= 40_000
+
+
+def test_a_delivery_to_all_buckets_leaves_earlier_sums_in_place(spark, tmp_path):
+    store, datasets = ItemStore(spark, str(tmp_path), 2, fan=3), _datasets(spark, 60)
+    for number in range(7):
+        before = {f["path"] for f in store.cube.version().files}
+        store.add(_items(spark, range(8 * number, 8 * number + 8)), number)
+        store.refresh_cube(datasets)
+        after = store.cube.version().files
+        if number in (1, 3, 4):  # no level is full
+            assert before < {f["path"] for f in after}
+        assert rows(store.cube.read()) == _summed(store, datasets)
+    assert len(after) <= 2 * 2 * 3 and max(f["level"] for f in after) >= 1
+    assert store.cube.vacuum(keep=1) and rows(store.cube.read()) == _summed(store, datasets)
+
+
+def test_a_run_is_written_by_as_many_tasks_as_its_rows_are_worth(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(item_store, "ROWS_PER_TASK", 100)
+    store = ItemStore(spark, str(tmp_path), with_cube=False)
+    store.add(_items(spark, range(200)), 0)
+    files = store.items.version().files
+    assert len(files) == min(6, spark.sparkContext.defaultParallelism)
+    assert sum(f["rows"] for f in files) == 600
+
+
+def test_distinct_values_in_levels(spark, tmp_path):
+    table = LevelledTable(spark, str(tmp_path), spark.range(1).schema, ["id"], 4, DataFrame.distinct, fan=2)
+    for number in range(5):
+        table.add(spark.range(10 * number, 10 * number + 15), "w", number)
+    table.add(spark.range(99), "w", 3)  # was there before
+    assert sorted(r[0] for r in table.read().collect()) == list(range(55))
