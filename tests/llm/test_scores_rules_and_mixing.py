@@ -223,3 +223,15 @@ def test_mixing_odd_rows_and_draws(spark, odd, nothing):
     drawn = mixing.mixed(many, {"source": {"a": 0.1, "b": 0.9}})
     share = drawn.where("source = 'a'").agg(F.sum("copies")).first()[0] / 20_000
     assert share == pytest.approx(0.1, abs=0.01)
+
+
+def test_rare_ids_depend_on_what_comes_before(spark):
+    texts = [f"the w{i % 40} of a z{i % 40} and" for i in range(400)] + ["the of a and " * 30] * 20
+    model = lm_scoring.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    for shares in model.share:  # of every class, after every class
+        sums = np.bincount(model.classes, weights=np.exp(shares.astype(np.float64)), minlength=attention.CLASSES)
+        assert np.allclose(sums[np.bincount(model.classes, minlength=attention.CLASSES) > 0], 1, atol=1e-4)
+    own = attention.CLASSES * 3 // 4
+    shared = model.classes >= own
+    spread = model.share.max(axis=0) - model.share.min(axis=0)
+    assert (spread[shared] > 0).sum() >= 60 and spread[shared].max() > 1
