@@ -226,6 +226,15 @@ def _sketches_fit(threshold: Threshold, words: int = SKETCH):
     return differ <= _most(threshold)
 
 
+def _places_fit(threshold: Threshold):
+    """Whether two sets may be similar that share the shingle at these places of one order.
+
+    Of the shingles before it, and of those after it, the longer side holds some that the other lacks.
+    """
+    ahead = F.col("place") - F.col("other_place")
+    return F.abs(ahead) + F.abs(F.col("n") - F.col("other_n") - ahead) <= _most(threshold)
+
+
 def _folded(words: int):
     """The parity sketch of the same set in fewer words: words laid on one another cancel like shingles."""
     kept = []
@@ -253,7 +262,7 @@ def _star_pairs(postings: DataFrame, threshold: Threshold) -> DataFrame:
 
 
 def _cross_pairs(postings: DataFrame, labels: DataFrame, sketches: DataFrame, threshold: Threshold) -> DataFrame:
-    """All pairs of a posting list that lie in different components and whose sketches fit.
+    """All pairs of a posting list that lie in different components and whose places and sketches fit.
 
     Up to the last shared token of the two prefixes, both sets are known in full:
     what they do not share there must not exceed the difference that the similarity
@@ -272,6 +281,7 @@ def _cross_pairs(postings: DataFrame, labels: DataFrame, sketches: DataFrame, th
         ((F.col("n") < F.col("other_n")) | ((F.col("n") == F.col("other_n")) & (F.col("id") < F.col("other_id"))))
         & (F.col("label") != F.col("other_label"))
         & _lengths_fit(threshold)
+        & _places_fit(threshold)
         & _sketches_fit(threshold, FOLDED)
     )
     seen = pairs.groupBy("id", F.col("other_id").alias("other"), _most(threshold).alias("most")).agg(

@@ -192,3 +192,21 @@ def test_large_group_of_loose_copies_makes_few_candidates(spark, monkeypatch, wi
     assert {r["doc_id"]: r["component_id"] for r in got} == expected
     assert 1 < len(set(expected.values())) < len(docs)
     assert made[-1] < len(docs) * 10
+
+
+def test_places_rule_out_only_sets_that_differ_too_much(spark):
+    """Shared shingles of sets in one order: similar sets keep all, others lose those that are too far apart."""
+    rng = np.random.default_rng(3)
+    listed, wanted = [], {}
+    for pair in range(60):
+        percent_kept = (60, 90, 97)[pair % 3]
+        whole = rng.permutation(400)[: rng.integers(20, 300)]
+        a = set(whole.tolist())
+        b = {x for x in a if rng.integers(100) < percent_kept} | set(rng.integers(400, 420, 2).tolist())
+        placed = [{x: i for i, x in enumerate(sorted(s))} for s in (a, b)]
+        wanted[pair] = 100 * len(a & b) >= 90 * len(a | b)
+        listed += [(pair, len(a), len(b), placed[0][x], placed[1][x]) for x in a & b]
+    df = spark.createDataFrame(listed, "pair int, n int, other_n int, place int, other_place int")
+    fits = df.groupBy("pair").agg({"*": "count"}).join(df.where(ngram_join._places_fit(ngram_join.Threshold(90))).groupBy("pair").count(), "pair", "left").collect()
+    assert all(r["count"] == r["count(1)"] for r in fits if wanted[r["pair"]])
+    assert any(wanted.values()) and sum(r["count"] or 0 for r in fits) < len(listed)
