@@ -1,5 +1,9 @@
 """Language profiles and site posteriors."""
 
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +111,18 @@ def test_quality_without_labels_or_rows(spark, odd, nothing):
     site, part = F.col("source"), F.col("lang")
     assert {r["probability"] for r in quality.posteriors(odd, none, site, part).collect()} == {0.5}
     assert quality.posteriors(nothing, none, site, part).count() == 0
+
+
+def test_memory_of_language_tasks_is_a_small_multiple_of_a_piece():
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdefghijklmnop "), 4000)) for _ in range(500)]  # 2 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * len(texts)), pa.array(texts)], ["lang", "text"])
+    language_id._is_letter()
+    tracemalloc.start()
+    try:
+        found = list(language_id._count_grams("lang", "text")(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sum(b.column("n").to_pylist()) for b in found) > 2 * 2_000_000
+    assert peak < 64 << 20
