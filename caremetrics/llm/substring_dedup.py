@@ -15,7 +15,7 @@ whole aligned block of half its length, wherever its document puts it. So:
    rest are repeats, and runs of them are the maximal exact repeats.
 
 What moves are packed arrays per run of documents and share of the hashes, not a
-row per word. A passage in a third of all documents is one index entry in step 2
+row per word; texts with hits move packed, too. A passage in a third of all documents is one index entry in step 2
 and one window per run of documents in step 3; no pairs are formed.
 
 Blocks are matched by 32 bits of hash besides their share (a chance match costs a
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremetrics.llm.id_filter import passing
-from caremetrics.llm.packing import NAMES, PACKED, by_bucket, dealt, rows_batch, run_numbers
+from caremetrics.llm.packing import NAMES, PACKED, by_bucket, dealt, rows_batch, run_numbers, squeezed, unsqueezed
 from caremetrics.llm.words import SPACED, Words, column_bytes, id_array, pieces, rolling, window_mask
 from caremetrics.session import checkpointed
 
@@ -49,6 +49,8 @@ WINDOW = 20
 _RUN = 4 << 20
 _INDEX, _PROBES, _BLOCKS, _DOCUMENTS = 0, 1, 2, 9
 _LAST_ID = (1 << 63) - 1
+# Of zstd, for the texts of a run; a tenth smaller than at its default.
+_LEVEL = 3
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -191,13 +193,21 @@ def _firsts(hashes: np.ndarray, key: np.ndarray, start: np.ndarray) -> tuple[np.
     return first, later
 
 
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, _, _ in pieces(batch, "text", _RUN):
+            yield pa.RecordBatch.from_arrays([part.column("key"), *squeezed(part.column("text"))], ["key", "size", "body"])
+
+
 def _candidates(window: int, buckets: int):
     """Step 3: windows around hits; the first of each hash is sent on, with the texts for the end."""
     block = window // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = run_numbers()
+        numbers, packer = run_numbers(), pa.Codec("zstd", compression_level=_LEVEL)
         for batch in batches:
+            unpacked = [batch.column("key"), unsqueezed(batch.column("size"), batch.column("body")), batch.column("hits")]
+            batch = pa.RecordBatch.from_arrays(unpacked, ["key", "text", "hits"])
             for part, data, offsets in pieces(batch, "text", _RUN):
                 words = Words(data, offsets, SPACED)
                 edges = np.zeros(len(words) + 1, dtype=np.int64)
@@ -216,7 +226,7 @@ def _candidates(window: int, buckets: int):
                     parts = found.hash[picked].astype("<u8"), found.key[picked].astype("<i8"), found.start[picked].astype("<i8")
                     rows.append((bucket, _PROBES, number, b"".join(x.tobytes() for x in parts)))
                 head = np.concatenate([[len(keys)], keys, offsets]).astype("<i8").tobytes()
-                texts = pa.compress(data.tobytes(), "zstd", asbytes=True)
+                texts = packer.compress(data.tobytes(), asbytes=True)
                 yield rows_batch([*rows, (number % buckets, _DOCUMENTS, number, head + texts)])
 
     return run
@@ -336,7 +346,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hits = dealt(probed, "run").mapInArrow(_hits_by_document, "key long, hits array<int>")
     # A few numbers per document, read twice. Rows of one id share their hits.
     merged = checkpointed(hits.groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("hits")))
-    texts = passing(keyed, merged.select("key"), "key")
+    texts = passing(keyed, merged.select("key"), "key").mapInArrow(_packed_texts, "key long, size long, body binary")
     around = texts.join(merged, "key").mapInArrow(_candidates(window, buckets), PACKED)
     compared = dealt(around, "bucket").mapInArrow(_earliest, PACKED)
     removed = dealt(compared, "run").mapInArrow(

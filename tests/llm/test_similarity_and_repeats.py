@@ -4,10 +4,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from caremetrics.llm import ngram_join, substring_dedup
 from caremetrics.llm.components import connected
+from caremetrics.llm.packing import unsqueezed
 from tests.conftest import rows
 from tests.llm.conftest import ODD, lower, spaced
 
@@ -210,3 +212,23 @@ def test_places_rule_out_only_sets_that_differ_too_much(spark):
     fits = df.groupBy("pair").agg({"*": "count"}).join(df.where(ngram_join._places_fit(ngram_join.Threshold(90))).groupBy("pair").count(), "pair", "left").collect()
     assert all(r["count"] == r["count(1)"] for r in fits if wanted[r["pair"]])
     assert any(wanted.values()) and sum(r["count"] or 0 for r in fits) < len(listed)
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_texts_with_repeats_move_packed_and_whole(kind):
+    dice = random.Random(3)
+    words = ["".join(dice.choice("etaoinshrdlu") for _ in range(dice.randint(2, 9))) for _ in range(300)]
+    texts = [None, "", "é\0\n x", *(" ".join(dice.choice(words) for _ in range(600)) for _ in range(50))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, kind)], ["key", "text"])
+    moved = list(substring_dedup._packed_texts(iter([batch.slice(0, 9), batch.slice(9)])))
+    back = [t for b in moved for t in unsqueezed(b.column("size"), b.column("body")).to_pylist()]
+    assert back == [t or "" for t in texts]
+    assert [k for b in moved for k in b.column("key").to_pylist()] == list(range(len(texts)))
+    assert sum(b.column("body").nbytes for b in moved) < 0.6 * sum(len(t) for t in back)
+
+
+def test_a_row_without_text_shares_the_id_of_a_repeat(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text), (2, text), (2, None), (2, ""), (3, None)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in substring_dedup.remove_repeats(docs).collect())
+    assert got == [(1, 30, 0), (2, 0, 0), (2, 0, 0), (2, 30, 30), (3, 0, 0)]
