@@ -70,11 +70,14 @@ class ItemStore:
         base = self.items.version()
         if number <= base.done.get(writer, -1):
             return False
-        # Copies are merged as the delivery is read; what is left is looked up, compared and written.
-        keyed = one_row_per_key(with_item_id(items), "id").persist(StorageLevel.MEMORY_AND_DISK)
+        # The delivery is looked up as it came; its copies are merged once, where it is compared or written.
+        keyed = with_item_id(items)
+        if base.files:
+            keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             met = self._files_met(keyed, base)
-            fresh = new_rows(keyed, self.items.read(met), "id", within="datasetid").persist(StorageLevel.MEMORY_AND_DISK) if met else keyed
+            unseen = new_rows(keyed, self.items.read(met), "id", within="datasetid") if met else one_row_per_key(keyed, "id")
+            fresh = unseen.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 count = fresh.count()
                 files = self.items.write_sorted(fresh, ["datasetid", "id"], self._pieces(count), 0) if count else []

@@ -213,3 +213,23 @@ def test_distinct_values_in_levels(spark, tmp_path):
         table.add(spark.range(10 * number, 10 * number + 15), "w", number)
     table.add(spark.range(99), "w", 3)  # was there before
     assert sorted(r[0] for r in table.read().collect()) == list(range(55))
+
+
+def test_copies_of_a_delivery_are_merged_once(spark, tmp_path, monkeypatch):
+    merged = []
+    plain = upsert.one_row_per_key
+
+    def counted(df, key):
+        merged.append(key)
+        return plain(df, key)
+
+    monkeypatch.setattr(upsert, "one_row_per_key", counted)
+    monkeypatch.setattr(item_store, "one_row_per_key", counted)
+    store = ItemStore(spark, str(tmp_path), with_cube=False)
+    twice = _items(spark, range(10)).unionByName(_items(spark, range(5)))
+    for number in range(2):
+        merged.clear()
+        store.add(twice.unionByName(_items(spark, range(100 * number, 100 * number + 9))), number)
+        assert merged == ["id"]
+    whole = rows(store.rows())
+    assert len(whole) == len({r[-1] for r in whole}) == 3 * 19
