@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 BITS = 1 << 24
 
 
-def passing(texts: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+def passing(
+    texts: DataFrame, ids: DataFrame, id_col: str = "id", then: Callable | None = None, then_schema: str | None = None
+) -> DataFrame:
     """The rows of ``texts`` whose id may be in ``ids``: all that are, and some that share their bits.
 
+    ``then`` gets the batches of rows that pass, in the same Python process, and makes rows of ``then_schema``.
+
     ``ids`` is read here and should be checkpointed. The bits are combined in the
     tasks and sent to all of them; the join that decides comes afterwards and has
     fewer texts to move.
@@ -30,9 +34,12 @@ def passing(texts: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(bits)
     names, schema = texts.columns, texts.schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column("bit__").to_numpy()
             yield batch.filter(pa.array(shared.value[at >> 5] >> (at & 31) & 1 == 1)).select(names)
 
-    return texts.withColumn("bit__", bit).mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return kept(batches) if then is None else then(kept(batches))
+
+    return texts.withColumn("bit__", bit).mapInArrow(run, schema if then is None else then_schema)

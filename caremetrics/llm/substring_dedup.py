@@ -73,6 +73,19 @@ def _unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     return raw[:half].view("<u4"), np.cumsum(_from_planes(raw[half:]), dtype=np.int64)
 
 
+def _pack_places(hashes: np.ndarray, key: np.ndarray, start: np.ndarray) -> bytes:
+    """Windows in the order of the text; steps of the ids, and starts, by byte significance."""
+    both = np.stack([np.diff(key, prepend=0), start]).astype("<i8")
+    return hashes.astype("<u8").tobytes() + np.ascontiguousarray(both.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpack_places(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(body) // 24
+    planes = np.frombuffer(body, np.uint8, 16 * n, 8 * n).reshape(8, -1)
+    steps, start = np.ascontiguousarray(planes.T).view("<i8").reshape(2, n)
+    return np.frombuffer(body, "<u8", n), np.cumsum(steps), start
+
+
 def _anchors(window: int, buckets: int):
     """Step 1 and the probes of step 2, packed per run of documents."""
     block = window // 2
@@ -223,8 +236,7 @@ def _candidates(window: int, buckets: int):
                 sent = np.sort(found.first)  # in the order of the text, which packs well
                 for bucket, chosen in by_bucket(found.hash[sent], buckets):
                     picked = sent[chosen]
-                    parts = found.hash[picked].astype("<u8"), found.key[picked].astype("<i8"), found.start[picked].astype("<i8")
-                    rows.append((bucket, _PROBES, number, b"".join(x.tobytes() for x in parts)))
+                    rows.append((bucket, _PROBES, number, _pack_places(found.hash[picked], found.key[picked], found.start[picked])))
                 head = np.concatenate([[len(keys)], keys, offsets]).astype("<i8").tobytes()
                 texts = packer.compress(data.tobytes(), asbytes=True)
                 yield rows_batch([*rows, (number % buckets, _DOCUMENTS, number, head + texts)])
@@ -239,10 +251,9 @@ def _earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def told() -> list[tuple]:
         if not held:
             return []
-        raw = [np.frombuffer(body, "<u8").reshape(3, -1) for _, body in held]
-        hashes, key, start = np.concatenate(raw, axis=1)
-        number = np.repeat([n for n, _ in held], [r.shape[1] for r in raw])
-        _, later = _firsts(hashes, key.view("<i8"), start.view("<i8"))
+        hashes, key, start = (np.concatenate(x) for x in zip(*(_unpack_places(body) for _, body in held)))
+        number = np.repeat([n for n, _ in held], [len(body) // 24 for _, body in held])
+        _, later = _firsts(hashes, key, start)
         numbers, hashes = number[later], hashes[later]
         order = np.argsort(numbers, kind="stable")
         some, at = np.unique(numbers[order], return_index=True)
@@ -346,7 +357,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hits = dealt(probed, "run").mapInArrow(_hits_by_document, "key long, hits array<int>")
     # A few numbers per document, read twice. Rows of one id share their hits.
     merged = checkpointed(hits.groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("hits")))
-    texts = passing(keyed, merged.select("key"), "key").mapInArrow(_packed_texts, "key long, size long, body binary")
+    texts = passing(keyed, merged.select("key"), "key", _packed_texts, "key long, size long, body binary")
     around = texts.join(merged, "key").mapInArrow(_candidates(window, buckets), PACKED)
     compared = dealt(around, "bucket").mapInArrow(_earliest, PACKED)
     removed = dealt(compared, "run").mapInArrow(

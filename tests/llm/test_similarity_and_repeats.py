@@ -232,3 +232,17 @@ def test_a_row_without_text_shares_the_id_of_a_repeat(spark):
     docs = spark.createDataFrame([(1, text), (2, text), (2, None), (2, ""), (3, None)], "doc_id long, text string")
     got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in substring_dedup.remove_repeats(docs).collect())
     assert got == [(1, 30, 0), (2, 0, 0), (2, 0, 0), (2, 30, 30), (3, 0, 0)]
+
+
+def test_places_of_windows_pack_small_and_come_back():
+    dice = np.random.default_rng(1)
+    key = np.sort(dice.integers(0, 1 << 40, 3000))
+    key[:2], key[-1] = (-(1 << 63), -5), (1 << 63) - 1
+    hashes, start = dice.integers(0, 1 << 64, 3000, dtype=np.uint64), dice.integers(0, 900, 3000)
+    for n in (3000, 1, 0):
+        back = substring_dedup._unpack_places(substring_dedup._pack_places(hashes[:n], key[:n], start[:n]))
+        assert all((a == b[:n]).all() and len(a) == n for a, b in zip(back, (hashes, key, start)))
+    key = np.sort(dice.integers(0, 100_000, 3000))
+    plain = b"".join(x.astype("<i8").tobytes() for x in (key, start))
+    packed = substring_dedup._pack_places(hashes, key, start)[8 * 3000 :]
+    assert len(pa.compress(packed, "lz4_raw", asbytes=True)) < 0.5 * len(pa.compress(plain, "lz4_raw", asbytes=True))
