@@ -1,6 +1,7 @@
 """LM scores, license scans, URL rules and mixing."""
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -91,6 +92,64 @@ def test_gradient_matches_differences_and_training_helps():
     assert loss(trainer.weights) < loss(weights) - 0.5
 
 
+def test_a_training_step_makes_no_large_arrays():
+    rng = np.random.default_rng(3)
+    seen, aim = rng.integers(0, attention.CLASSES, (2, 64, attention.WINDOW))
+    trainer = attention.Trainer(attention.initial(np.ones(attention.CLASSES)), 0.01)
+    trainer.step(seen, aim, np.ones(seen.shape, bool))
+    tracemalloc.start()
+    for _ in range(3):
+        trainer.step(seen, aim, np.ones(seen.shape, bool))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100_000  # 1,024 places of 32 classes alone are 131,072 bytes
+
+
+@pytest.mark.parametrize("times", [1, 12])
+def test_partly_counted_windows_and_steep_weights(times):
+    rng = np.random.default_rng(4)
+    weights = attention.initial(np.ones(attention.CLASSES)).astype(np.float64) * times
+    seen, aim = rng.integers(0, attention.CLASSES, (2, 8, attention.WINDOW))
+    counted = rng.random(seen.shape) < 0.6
+    w = attention.unpacked(weights)
+    x = w["E"][seen] + w["P"]
+    met = (x @ w["Q"]) @ (x @ w["K"]).transpose(0, 2, 1) / 4
+    met[:, ~np.tri(attention.WINDOW, dtype=bool)] = -np.inf
+    shares = np.exp(met - met.max(axis=-1, keepdims=True))
+    h = x + (shares / shares.sum(axis=-1, keepdims=True)) @ x @ w["V"] @ w["O"]
+    logits = h @ w["U"] + w["b"]
+    logits -= logits.max(axis=-1, keepdims=True)
+    told = logits - np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+    scorer = attention.Scorer(weights)
+    assert scorer.safe == (times == 1)
+    for skip in (0, 4):
+        got = scorer.windows(seen, aim[:, skip:], skip)
+        assert np.allclose(got, np.take_along_axis(told, aim[..., None], -1)[:, skip:, 0], rtol=1e-3, atol=1e-3)
+    wrong = np.exp(told) - np.eye(attention.CLASSES)[aim]
+    wrong *= counted[..., None] / counted.sum()
+    slope = attention.unpacked(attention.gradient(weights, seen, aim, counted))
+    assert np.allclose(slope["b"], wrong.sum(axis=(0, 1)))
+    assert np.allclose(slope["U"], np.einsum("wpd,wpc->dc", h, wrong))
+
+
+def test_packed_runs_give_back_ids_and_windows_of_training_texts():
+    texts = ["One two  one", "", "three\u00a0four two", "held one out"] * 3
+    train = [True, True, True, False] * 3
+    columns = {"id": pa.array([None, *range(1, 12)], pa.int64()), "train": train, "text": texts}
+    (batch,) = lm_scoring._encode(lm_scoring.VOCABULARY)(iter([pa.RecordBatch.from_pydict(columns)]))
+    run = lm_scoring.Run(batch.column("body")[0].as_buffer())
+    assert run.ids[1:].tolist() == list(range(1, 12)) and run.null.tolist() == [True] + [False] * 11
+    encode = lm_scoring._encoder(lm_scoring.VOCABULARY)[0]
+    wanted = [[i for w in spaced(lower(t)) for i in encode(" " + w)] + [lm_scoring.END] for t in texts]
+    ids, bounds = run.stream()
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == wanted
+    learned = [i for t, taught in zip(wanted, train) if taught for i in t]
+    windows = run.windows()
+    assert [i for i in windows[:, 1:].reshape(-1).tolist() if i >= 0] == learned
+    assert windows.reshape(-1)[:1].tolist() == [lm_scoring.END] and (windows[1:, 0] == windows[:-1, -1]).all()
+    assert dict(enumerate(run.id_counts().tolist())) == dict.fromkeys(range(lm_scoring.IDS), 0) | Counter(learned)
+
+
 PHRASES = {("under", "the", "mit", "license"): "mit", ("apache", "license", "version", "2"): "apache-2", ("cc", "by", "nc"): "cc-by-nc"}
 NOTICES = [
     (1, "Released under the MIT License.\nUNDER the-MIT license, under the mit LICENSE"),
