@@ -16,6 +16,7 @@ writer and count once, so a run that failed at any point can be repeated.
 from __future__ import annotations
 
 from bisect import bisect_left
+from itertools import groupby
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -124,15 +125,21 @@ class ItemStore:
                 base = self.items.commit(base, [*others, *merged])
             level += 1
 
-    def refresh_cube(self, datasets: DataFrame) -> None:
-        """Bring the cube up to the last delivery, one delivery at a time.
+    def refresh_cube(self, datasets: DataFrame, waiting: int = 1) -> None:
+        """Bring the cube up to the last delivery, if at least ``waiting`` deliveries are not in it.
 
-        Items of datasets that ``datasets`` does not have yet are not counted: list the
-        datasets first.
+        Deliveries of a writer that follow one another are summed together, so that all of
+        ``datasets`` is joined once for them. Items of datasets that it does not have yet are
+        not counted: list the datasets first.
         """
-        for entry in self.items.version().log:
-            delta = delta_cube(self.items.read(entry["files"]), datasets, self.exact_scale)
-            self.cube.add(delta, entry["writer"], entry["number"])
+        taken = self.cube.version().done
+        log = [entry for entry in self.items.version().log if entry["number"] > taken.get(entry["writer"], -1)]
+        if len(log) < waiting:
+            return
+        for writer, run in groupby(log, lambda entry: entry["writer"]):
+            entries = list(run)
+            items = self.items.read([f for entry in entries for f in entry["files"]])
+            self.cube.add(delta_cube(items, datasets, self.exact_scale), writer, entries[-1]["number"])
 
 
 def _holds(values: list[int], low: int, high: int) -> bool:

@@ -88,7 +88,8 @@ def judged_items(raw: DataFrame) -> DataFrame:
     A record is rejected if it has too few or too many columns, a dataset id or a value
     that is no number, or if its file lacks the header. Nothing is dropped but header rows;
     nothing fails the job. Files are judged by their name, one row each, and those without header
-    are sent to the records, so that no task gets a whole file; ``raw`` should be kept.
+    are sent to the records, so that no task gets a whole file; ``raw`` is read twice. Only
+    records with a reason get their text back.
     """
     names = [f.name for f in ITEMS_FILE]
     is_header = F.lit(True)
@@ -108,7 +109,7 @@ def judged_items(raw: DataFrame) -> DataFrame:
     return (
         raw.where(~is_header)
         .join(F.broadcast(headless), "source_file", "left")
-        .select(dataset.alias("datasetid"), "reportingunitcode", value.alias("value"), "caveats", "source_file", reason.alias("reason"), text.alias("record"))
+        .select(dataset.alias("datasetid"), "reportingunitcode", value.alias("value"), "caveats", "source_file", reason.alias("reason"), F.when(reason.isNotNull(), text).alias("record"))
     )
 
 

@@ -9,7 +9,8 @@ The list of files must fit the driver; files should have hundreds of megabytes.
 There is one writer at a time: a second one that started from the same version is refused.
 
 A ``LevelledTable`` holds rows that combine, such as sums: what comes is written beside what
-is stored, and combined when it is read, so a delivery costs what it brings.
+is stored, and combined when it is read, so a delivery costs what it brings. A ``MarkedTable``
+holds rows that are marked by their key: the keys are written beside the rows in the same way.
 """
 
 from __future__ import annotations
@@ -108,10 +109,10 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def write_buckets(self, rows: DataFrame) -> list[dict]:
+    def write_buckets(self, rows: DataFrame, columns: list[str] | None = None) -> list[dict]:
         """Write rows aside, a file per bucket that has some; returns the files."""
         folder = uuid.uuid4().hex
-        dealt = rows.select(*self.schema.fieldNames()).withColumn("bucket", self.bucket()).repartition(self.buckets, "bucket")
+        dealt = rows.select(*(columns or self.schema.fieldNames())).withColumn("bucket", self.bucket()).repartition(self.buckets, "bucket")
         dealt.write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
         names = [n for n in self._files_in(f"data/{folder}") if n.startswith("bucket=")]
         return [{"path": f"{folder}/{n}", "bucket": int(n.split("=")[1])} for n in names]
@@ -151,6 +152,21 @@ class VersionedTable:
         kept = [f for f in base.files if f["bucket"] not in touched]
         return self.commit(base, [*kept, *files], None if number is None else {writer: number})
 
+    def _levelled(self, base: Version, fan: int, chosen: Callable[[dict], bool], combined: Callable[[list[dict]], list[dict]]) -> Version:
+        """Combine full levels of buckets, lowest first, among the chosen files."""
+        level = 0
+        while level <= max((_level(f) for f in base.files if chosen(f)), default=-1):
+            here: dict[int, list[dict]] = {}
+            for f in base.files:
+                if chosen(f) and _level(f) == level:
+                    here.setdefault(f["bucket"], []).append(f)
+            full = [f for held in here.values() if len(held) >= fan for f in held]
+            if full:
+                merged = [{**f, "level": level + 1} for f in combined(full)]
+                base = self.commit(base, [*(f for f in base.files if f not in full), *merged])
+            level += 1
+        return base
+
 
 class LevelledTable(VersionedTable):
     """A bucketed table of rows that ``combine`` (sums, distinct values), in any order and any number of times.
@@ -182,19 +198,51 @@ class LevelledTable(VersionedTable):
         return self._compact(self.commit(base, [*base.files, *files], None if number is None else {writer: number}))
 
     def _compact(self, base: Version) -> Version:
-        """Combine full levels of buckets, lowest first."""
-        level = 0
-        while level <= max((_level(f) for f in base.files), default=-1):
-            here: dict[int, list[dict]] = {}
-            for f in base.files:
-                if _level(f) == level:
-                    here.setdefault(f["bucket"], []).append(f)
-            full = [f for held in here.values() if len(held) >= self.fan for f in held]
-            if full:
-                merged = [{**f, "level": level + 1} for f in self.write_buckets(self.read(full))]
-                base = self.commit(base, [*(f for f in base.files if f not in full), *merged])
-            level += 1
-        return base
+        return self._levelled(base, self.fan, lambda f: True, lambda full: self.write_buckets(self.read(full)))
+
+
+class MarkedTable(VersionedTable):
+    """A bucketed table whose rows are marked by ``bucket_by``; ``marked`` gets rows and distinct marks.
+
+    Marks are kept in levels beside the rows, so a delivery of them costs what it brings
+    however many rows there are; they are applied to the rows when these are read. They
+    count for the rows that were there before them: ``merge`` writes a bucket's rows as marked,
+    and its marks are gone.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType, bucket_by: Iterable[str], buckets: int,
+        marked: Callable[[DataFrame, DataFrame], DataFrame], fan: int = 8,
+    ):
+        super().__init__(spark, root, schema, bucket_by, buckets)
+        self.marked, self.fan = marked, fan
+        self._marks_schema = T.StructType([schema[c] for c in self.bucket_by])
+
+    def read(self, files: Iterable[dict] | None = None) -> DataFrame:
+        """The rows of the given files, or of the current version, as marked."""
+        held = list(self.version().files if files is None else files)
+        rows = super().read([f for f in held if not _marks(f)])
+        marks = [f for f in held if _marks(f)]
+        return self.marked(rows, self._read_marks(marks)) if marks else rows
+
+    def mark(self, marks: DataFrame, writer: str = "", number: int | None = None) -> Version:
+        """Mark the rows that are stored; numbered marks of a writer count once, however often they come."""
+        base = self.version()
+        if number is not None and number <= base.done.get(writer, -1):
+            return base
+        files = [{**f, "level": 0} for f in self._write_marks(marks)]
+        base = self.commit(base, [*base.files, *files], None if number is None else {writer: number})
+        return self._levelled(base, self.fan, _marks, lambda full: self._write_marks(self._read_marks(full)))
+
+    def _read_marks(self, files: list[dict]) -> DataFrame:
+        return self.spark.read.schema(self._marks_schema).parquet(*(f"{self.root}/data/{f['path']}" for f in files)).distinct()
+
+    def _write_marks(self, marks: DataFrame) -> list[dict]:
+        return [{**f, "marks": True} for f in self.write_buckets(marks, self.bucket_by)]
+
+
+def _marks(file: dict) -> bool:
+    return file.get("marks", False)
 
 
 def _level(file: dict) -> int:

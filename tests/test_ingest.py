@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caremetrics.operators import ingest, upsert
+from caremetrics.operators import ingest, item_store, upsert
 from caremetrics.schemas import TABLES, create_tables
 from caremetrics.sources import feeds
 from caremetrics.streaming import items as stream
@@ -183,6 +183,38 @@ def test_bad_records_are_put_aside_by_file(spark, tmp_path):
     assert stream.read_items_table(spark, str(table)).count() == 4
 
 
+def test_micro_batches_leave_the_rows_of_datasets_and_sum_the_cube_once(spark, tmp_path):
+    flags = stream.datasets_table(spark, str(tmp_path / "datasets"), 4)
+    catalogue = [(day("2020-01-01"), "r", i, "m", f"d{i}", None if i == 3 else i == 5) for i in range(12)]
+    upsert.add_datasets(flags, spark.createDataFrame(catalogue, TABLES["datasets"].schema))
+    before = flags.version().files
+    landing, table, ckpt = (str(tmp_path / n) for n in ("landing", "table", "ckpt"))
+    for i in range(10):
+        _land(spark, landing, [(i, "H1", 1.0, None), (i, "NAT", 2.0, None), (i + 90, "H1", 3.0, None)])
+    stream.run_items_stream(spark, landing, table, ckpt, 1, flags)
+    assert set(map(str, before)) <= set(map(str, flags.version().files))
+    assert len([f for f in flags.version().files if f.get("marks")]) <= 4 * 8
+    assert rows(flags.read().select("datasetid", "stored")) == rows(spark.createDataFrame([(i, i < 10) for i in range(12)], "datasetid long, stored boolean"))
+    store = stream.item_store(spark, table)
+    assert store.cube.version().done == {ckpt: store.items.version().done[ckpt]}
+    assert len({f["path"].split("/")[0] for f in store.cube.version().files}) == 2  # of eight batches, and of two at the end
+    assert rows(store.cube.read()) == rows(item_store.delta_cube(store.rows(), flags.read()))
+
+
+def test_marks_count_once_and_only_for_rows_that_were_there(spark, tmp_path):
+    flags = stream.datasets_table(spark, str(tmp_path), 2)
+    listed = lambda ids: spark.createDataFrame([(day("2020-01-01"), "r", i, "m", "d", False) for i in ids], TABLES["datasets"].schema)
+    marks = lambda *ids: spark.createDataFrame([(i,) for i in ids], "datasetid long")
+    upsert.add_datasets(flags, listed([1, 2, 3]))
+    flags.mark(marks(1, 1, 77, None), "a", 0)
+    number = flags.mark(marks(2), "a", 1).number
+    assert flags.mark(marks(3), "a", 1).number == number
+    upsert.add_datasets(flags, listed([1, *range(70, 90)]))  # touches every bucket
+    assert not [f for f in flags.version().files if f.get("marks")]
+    assert rows(flags.read().where("stored").select("datasetid")) == [(1,), (2,)]
+    assert flags.read().count() == 23
+
+
 def test_a_failed_swap_leaves_the_old_flags_readable(spark, monkeypatch):
     spark.sql("DROP TABLE IF EXISTS datasets")
     create_tables(spark, buckets=4)
