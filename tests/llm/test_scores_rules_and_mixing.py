@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from caremetrics.llm import attention, licenses, lm_scoring, mixing, url_rules
+from caremetrics.llm import attention, licenses, lm_scoring, mixing, subwords, url_rules
 from tests.llm.conftest import ODD, alnum, fold, lower, spaced
 
 
@@ -294,3 +294,82 @@ def test_rare_ids_depend_on_what_comes_before(spark):
     shared = model.classes >= own
     spread = model.share.max(axis=0) - model.share.min(axis=0)
     assert (spread[shared] > 0).sum() >= 60 and spread[shared].max() > 1
+
+
+def _model(seed=5):
+    rng = np.random.default_rng(seed)
+    counts = rng.zipf(1.5, lm_scoring.IDS).clip(max=10_000) - 1
+    model = lm_scoring.Model(counts)
+    model.learn_contexts(rng.poisson(0.1, (attention.CLASSES, lm_scoring.IDS)))
+    return model, rng
+
+
+def test_ids_of_a_class_sum_to_one_in_every_state_and_start_from_their_counts():
+    model, rng = _model()
+    every, before = np.arange(lm_scoring.IDS), 3
+    pairs = np.random.default_rng(0).poisson(0.1, (attention.CLASSES, lm_scoring.IDS))
+    model.learn_contexts(pairs)
+    total = np.bincount(model.classes, weights=pairs[before], minlength=attention.CLASSES) + lm_scoring.PRIOR
+    wanted = np.log((pairs[before] + lm_scoring.PRIOR * model.plain) / total[model.classes])
+    assert np.allclose(model.share[before], wanted, rtol=1e-4, atol=1e-3)
+    vectors = rng.normal(0, 0.5, model.choices.shape).astype(np.float32)
+    for _ in range(2):
+        state = np.tile(rng.normal(size=attention.WIDTH).astype(np.float32), (lm_scoring.IDS, 1))
+        told = model.tree.told(every, np.full(lm_scoring.IDS, before), state, vectors)
+        assert np.allclose(np.bincount(model.classes, weights=np.exp(told), minlength=attention.CLASSES), 1, atol=1e-3)
+        assert np.abs(told - wanted).max() > 1
+
+
+def test_slopes_of_choices_match_differences():
+    model, rng = _model()
+    seen, aim = rng.integers(0, lm_scoring.IDS, (2, 4, attention.WINDOW))
+    counted = rng.random(aim.shape) < 0.7
+    before, state = model.classes[seen], rng.normal(size=(aim.size, attention.WIDTH)).astype(np.float32)
+    vectors = rng.normal(0, 0.3, model.choices.shape).astype(np.float32)
+    learner = subwords.Learner(model.tree, model.inputs, vectors, 0.01).at(seen, aim, before, counted)
+    slope = learner.slope(state, 1.0)
+
+    def loss(state, vectors):
+        return -model.tree.told(aim.reshape(-1), before.reshape(-1), state, vectors)[counted.reshape(-1)].sum()
+
+    step = (slope / np.linalg.norm(slope) * 0.01).astype(np.float32)
+    assert (loss(state + step, vectors) - loss(state - step, vectors)) / 2 == pytest.approx(float((slope * step).sum()), rel=0.02)
+    assert loss(state, learner.choices.values) < loss(state, vectors)
+    assert (learner.choices.met > 0).sum() == len({n for i in aim[counted] for n in model.tree.choices(np.array([i]))[1].tolist()})
+
+
+def test_an_id_read_places_ago_decides_between_ids_of_one_class():
+    model, rng = _model()
+    shared = np.flatnonzero(model.classes == attention.CLASSES - 1)
+    (a, b, x, y), rest = shared[:4], np.flatnonzero(model.classes < 24)
+    ids = rest[rng.integers(0, len(rest), (64, attention.WINDOW + 1))]
+    first = np.arange(64) % 2 == 0
+    ids[:, 2], ids[:, 9] = np.where(first, a, b), np.where(first, x, y)
+    classes = model.classes[ids]
+    assert (classes[:, 2] == classes[0, 2]).all() and (classes[:, 9] == classes[0, 9]).all()
+    trainer, learner = attention.Trainer(model.weights, 0.01), subwords.Learner(model.tree, model.inputs, model.choices, lm_scoring.ROW_RATE)
+    counted = np.ones((64, attention.WINDOW), bool)
+    for _ in range(300):
+        trainer.step(classes[:, :-1].copy(), classes[:, 1:].copy(), counted, learner.at(ids[:, :-1], ids[:, 1:], classes[:, :-1], counted))
+    scorer = subwords.IdScorer(trainer.weights, model.classes, model.tree, learner.inputs.values, learner.choices.values)
+    aim = ids[:1].copy()
+    aim[0, 9] = y
+    right, wrong = scorer.windows(ids[:1, :-1], ids[:1, 1:])[0, 8], scorer.windows(ids[:1, :-1], aim[:, 1:])[0, 8]
+    assert right > wrong + 1
+    # Nothing is told by what comes later, and every place is scored once.
+    stream, bounds = ids.reshape(-1), np.array([0, 5, 5, 400, ids.size])
+    whole, changed = scorer.stream(stream, a, bounds), stream.copy()
+    changed[410] = b
+    again = scorer.stream(changed, a, bounds)
+    assert (whole < 0).all() and np.allclose(whole[:410], again[:410], atol=1e-4) and not np.allclose(whole[411:420], again[411:420], atol=1e-4)
+
+
+def test_replicas_are_averaged_by_how_often_a_row_was_met():
+    rows = []
+    for run, (at, times) in enumerate((([1, 4], [1, 2]), ([4, 7], [6, 1]))):
+        values = np.full((2, attention.WIDTH), run + 1, np.float16)
+        rows.append((32, lm_scoring._INPUTS, run, lm_scoring._replica_part(np.array(at), np.array(times), values)))
+    (batch,) = lm_scoring._means(iter([lm_scoring.rows_batch(rows)]))
+    at, times, means = lm_scoring._opened(batch.column("body")[0].as_py())
+    assert at.tolist() == [1, 4, 7] and times.tolist() == [1, 8, 1]
+    assert np.allclose(means[:, 0], [1, 1.75, 2])
